@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +24,19 @@ def get_spark(app: str = "tessera", master: str | None = None, **conf: str) -> S
     return builder.config(map=settings).getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the executors' Python workers, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='tessera-')}/{package.name}", "zip", package.parent, package.name)
+    sc.addPyFile(archive)
+    sc._tessera_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
