@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import encode
+from tessera.llm import encode, layout, leak
 from tessera.session import table
 
 
@@ -27,6 +27,47 @@ def p6_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per leaked item: documents that hold it, longest stretch in words."""
+    return leak.item_report(_leaks(spark, sf_dir)).select("item_id", "n_documents", "longest")
+
+
+def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with leaks, their texts without the leaked spans."""
+    docs = table(spark, sf_dir, "documents")
+    return leak.remove_leaks(docs, _leaks(spark, sf_dir))
+
+
+def _layout_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = None
+    for name, fields, as_json in (
+        ("response_records", ["prompt", "response"], False),
+        ("preference_records", ["prompt", "chosen", "rejected"], False),
+        ("raw_records", ["payload"], True),
+    ):
+        part = layout.canonical_rows(table(spark, sf_dir, name), "row_index", fields, as_json, name)
+        rows = part if rows is None else rows.unionByName(part)
+    return layout.group_layout_copies(rows)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = _layout_groups(spark, sf_dir).where("rep <> row")
+    return groups.select(F.col("tab").alias("record_table"), F.col("rep").alias("row_index_a"), F.col("row").alias("row_index_b"))
+
+
+def p5_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record once, with the number of its copies."""
+    return layout.copy_counts(_layout_groups(spark, sf_dir)).select(F.col("tab").alias("record_table"), F.col("rep").alias("row_index"), "n_copies")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
 
