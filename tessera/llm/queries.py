@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import encode, layout, leak
+from tessera.llm import encode, layout, leak, near_dup
 from tessera.session import table
 
 
@@ -68,6 +68,19 @@ def p5_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.copy_counts(_layout_groups(spark, sf_dir)).select(F.col("tab").alias("record_table"), F.col("rep").alias("row_index"), "n_copies")
 
 
+def _near(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return near_dup.near_duplicates(table(spark, sf_dir, "response_records"), size=3, threshold=0.5)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.row_pairs(*_near(spark, sf_dir))
+
+
+def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record with its class of copies, its group and its class's links."""
+    return near_dup.groups(*_near(spark, sf_dir)).withColumnRenamed("row", "row_index")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
 
