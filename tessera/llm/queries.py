@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import encode, layout, leak, near_dup
+from tessera.llm import encode, layout, leak, near_dup, split_overlap
 from tessera.session import table
 
+#: White space as Python's strip and split see it.
+WS = r"[\s\x1c-\x1f\x85\p{Z}]"
+
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf_dir, "documents"))
@@ -81,6 +84,26 @@ def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.groups(*_near(spark, sf_dir)).withColumnRenamed("row", "row_index")
 
 
+def _split():
+    return F.lower(F.regexp_replace("dataset_split", rf"^{WS}+|{WS}+$", ""))
+
+
+def _overlaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    held = F.when(_split().isin("validation", "test"), True).when(_split() == "train", False)
+    return split_overlap.split_overlaps(table(spark, sf_dir, "response_records"), held, size=3, threshold=0.5)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = split_overlap.row_pairs(*_overlaps(spark, sf_dir))
+    return pairs.select(F.least("train_row", "held_row").alias("row_index_a"), F.greatest("train_row", "held_row").alias("row_index_b"))
+
+
+def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per held-out split and source: rows with a prompt, and those that train also has."""
+    df = table(spark, sf_dir, "response_records")
+    return split_overlap.overlap_report(*_overlaps(spark, sf_dir), df, "row_index", _split(), F.coalesce("source", F.lit("(none)")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
 
