@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import encode, layout, leak, near_dup, split_overlap
+from tessera.llm import encode, layout, leak, near_dup, pair_quality, split_overlap
 from tessera.session import table
 
 #: White space as Python's strip and split see it.
@@ -104,6 +104,19 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_overlap.overlap_report(*_overlaps(spark, sf_dir), df, "row_index", _split(), F.coalesce("source", F.lit("(none)")))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {
+        "response_records": (table(spark, sf_dir, "response_records"), "row_index", "prompt", ["response"]),
+        "preference_records": (table(spark, sf_dir, "preference_records"), "row_index", "prompt", ["chosen", "rejected"]),
+    }
+    return pair_quality.pair_defects(spark, tables, table(spark, sf_dir, "documents"))
+
+
+def p2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defective answers by table, field and defect."""
+    return p2_found(spark, sf_dir).groupBy("record_table", "field", "defect").agg(F.count("*").alias("n_answers"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
 
