@@ -1,26 +1,57 @@
 """Shared parts of the similarity joins: keys of shingle sets, exact verification, expansion.
 
-Two rows with the same set of word shingles have the same class key (64 bits of its hash).  The
-joins work on classes, so groups of exact copies, however large, are one record to them; rows come
+Rows with the same words in the same order have the same class key (64 bits of a hash).  The joins
+work on classes, so groups of exact copies, however large, are one record to them; rows come
 back in only at the end.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.text import WordHasher, jaccard, mix, shingles, words
+from tessera.llm.text import WordHasher, flat_shingles, flat_words, jaccard
+from tessera.session import materialize
 
 
-def class_key(sh: np.ndarray) -> int:
-    """Signed 64-bit hash of a sorted shingle set."""
-    with np.errstate(over="ignore"):
-        low = mix(np.array([sh.sum() ^ np.uint64(len(sh))], dtype=np.uint64))
-        both = low + mix(sh ^ np.uint64(0xA0761D6478BD642F)).sum()
-    return int(mix(both)[0].astype(np.int64))
+def presence(codes: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of the values of column ``code`` (0 to 2**bits - 1).  Its words are or-ed on the
+    executors, so at most ``2**bits / 64`` rows reach the driver, whatever the data."""
+    one = F.expr("shiftleft(1L, cast(code & 63 AS int))")
+    rows = codes.groupBy(F.shiftright("code", 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
+    full = np.zeros(1 << (bits - 6), np.int64)
+    full[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return full.view(np.uint8)
+
+
+FILTER_BITS = 24
+
+
+def likely_rows(df: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of ``df`` whose ``row`` may be in ``wanted`` (row): a bitmap of 2**bits hashed rows (2 MB)
+    is broadcast, so most rows that a later join drops are never shuffled.  It has no false negatives."""
+    code = F.pmod(F.xxhash64("row"), F.lit(1 << bits))
+    bitmap = df.sparkSession.sparkContext.broadcast(presence(wanted.select(code.alias("code")), bits))
+
+    @F.pandas_udf("boolean")
+    def there(codes: pd.Series) -> pd.Series:
+        c = codes.to_numpy()
+        return pd.Series((bitmap.value[c >> 3] >> (c & 7).astype(np.uint8)) & 1 == 1)
+
+    return df.where(there(code))
+
+
+def texts_of(keys: DataFrame, members: DataFrame, source: DataFrame) -> DataFrame:
+    """(key, text) of the wanted classes: the text of the smallest row of each.
+
+    ``keys`` (key), ``members`` (row, key), ``source`` (row, text)."""
+    reps = members.join(keys.distinct(), "key", "left_semi").groupBy("key").agg(F.min("row").alias("row"))
+    reps = materialize(reps, "representatives")
+    found = likely_rows(source, reps.select("row")).join(reps, "row")
+    return found.dropDuplicates(["key"]).select("key", "text")
 
 
 def verify_pairs(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
@@ -32,32 +63,29 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame, size: int, threshold: float
     both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
 
     def run(batches):
-        hasher, last, last_sh = WordHasher(), None, None
+        hasher = WordHasher()
         for batch in batches:
-            a, b, sim = [], [], []
-            for ka, kb, ta, tb in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if ka != last or last_sh is None:
-                    last, last_sh = ka, shingles(hasher(words(ta)), size)
-                s = jaccard(last_sh, shingles(hasher(words(tb)), size))
-                if s >= threshold:
-                    a.append(ka)
-                    b.append(kb)
-                    sim.append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())], ["a", "b", "similarity"])
+            if not batch.num_rows:
+                continue
+            ka, kb = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            # The pairs come sorted by a: each text of a is cut once.
+            new = np.concatenate([[True], ka[1:] != ka[:-1]])
+            of = np.cumsum(new) - 1
+            left, at = flat_shingles(*flat_words(batch.column(2).take(pa.array(np.flatnonzero(new))).to_pylist(), hasher), size)
+            right, bt = flat_shingles(*flat_words(batch.column(3).to_pylist(), hasher), size)
+            sets = [np.unique(left[at[i] : at[i + 1]]) for i in range(len(at) - 1)]
+            sim = np.array([jaccard(sets[i], np.unique(right[bt[j] : bt[j + 1]])) for j, i in enumerate(of)])
+            ok = sim >= threshold
+            yield pa.RecordBatch.from_arrays([pa.array(ka[ok]), pa.array(kb[ok]), pa.array(sim[ok], pa.float64())], ["a", "b", "similarity"])
 
     return both.mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
-def representatives(keys: DataFrame, members: DataFrame) -> DataFrame:
-    """(key, row): the smallest row of each wanted class; ``keys`` (key), ``members`` (row, key)."""
-    return members.join(keys.distinct(), "key", "left_semi").groupBy("key").agg(F.min("row").alias("row"))
-
-
-def components(links: DataFrame, materialize) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, component) of the graph of ``links`` (a, b): alternating large-star and small-star.
 
     Each step joins edges with the least neighbour of their node: a map-side minimum, no neighbour
-    list is ever gathered.  ``materialize`` cuts the lineage of every round."""
+    list is ever gathered.  A written table cuts the lineage of every round."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges = materialize(edges, "components")
     while True:

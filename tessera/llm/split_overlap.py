@@ -1,13 +1,13 @@
 """Records shared by splits: similarity-hash fingerprints, joined by segmented code blocks.
 
-Every class of prompts with the same shingles has a fingerprint: per bit, the sign of the sum of
+Every class of prompts with the same words has a fingerprint: per bit, the sign of the sum of
 +1/-1 over its words (each word's bits come from its hash), so similar prompts differ in few bits.
 The fingerprint is cut into ``blocks`` codes of ``code_bits`` bits.  Prompts of different splits
 that agree in a whole code are candidates, stay so if a check part of their fingerprints is within
 the Hamming radius, and are then compared exactly.
 
 Before the shuffle, codes of the training side that no held-out prompt has are dropped by one
-bitmap per block: ``blocks * 2**code_bits`` bits, 6 MB at the defaults whatever the data.
+bitmap per block: ``blocks * 2**code_bits`` bits, 8 MB at the defaults whatever the data.
 """
 
 from __future__ import annotations
@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.similarity import class_key, representatives, verify_pairs
-from tessera.llm.text import WordHasher, shingles, words
+from tessera.llm.similarity import presence, texts_of, verify_pairs
+from tessera.llm.text import WordHasher, sequence_keys, words
 from tessera.session import materialize, spread
 
-BLOCKS, CODE_BITS = 48, 20
+BLOCKS, CODE_BITS = 60, 20
 #: The first bits of the fingerprint are also compared as a whole, within this Hamming radius.
 CHECK_BITS, RADIUS = 192, 56
 #: Words whose bits a task keeps, and keys a task remembers so as not to fingerprint copies again.
@@ -32,48 +32,59 @@ CACHE_WORDS, SEEN = 40_000, 500_000
 
 
 class Fingerprints:
-    """Similarity hash of a bag of words."""
+    """Similarity hash of a set of words."""
 
     def __init__(self, bits: int):
-        self.bits, self.bytes, self.cache = bits, -(-bits // 8), {}
-
-    def word(self, w: str) -> np.ndarray:
-        row = self.cache.get(w)
-        if row is None:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            raw, k = b"", 0
-            while len(raw) < self.bytes:
-                raw += blake2b(w.encode("utf-8", "surrogatepass"), digest_size=64, salt=k.to_bytes(8, "little")).digest()
-                k += 1
-            bits = np.unpackbits(np.frombuffer(raw[: self.bytes], np.uint8))[: self.bits]
-            row = self.cache[w] = bits.astype(np.int8) * 2 - 1
-        return row
+        self.bits, self.place = bits, {}
+        self.rows = np.empty((CACHE_WORDS, bits), np.int8)
+
+    def _row(self, w: str) -> np.ndarray:
+        """The word's own bits, as +1 and -1."""
+        raw, k = b"", 0
+        while len(raw) * 8 < self.bits:
+            raw += blake2b(w.encode("utf-8", "surrogatepass"), digest_size=64, salt=k.to_bytes(8, "little")).digest()
+            k += 1
+        return np.unpackbits(np.frombuffer(raw, np.uint8))[: self.bits].astype(np.int8) * 2 - 1
+
+    def _places(self, tokens: list[str]) -> list[int]:
+        place, out = self.place, []
+        for w in tokens:
+            i = place.get(w)
+            if i is None:
+                i = place[w] = len(place)
+                self.rows[i] = self._row(w)
+            out.append(i)
+        return out
 
     def __call__(self, tokens: set[str]) -> np.ndarray:
-        total = np.zeros(self.bits, np.int32)
-        # A tie is decided by the words' own least hash, alike for equal sets.
-        for w in tokens:
-            total += self.word(w)
+        total, rest = np.zeros(self.bits, np.int32), list(tokens)
+        for at in range(0, len(rest), 1024):
+            part = rest[at : at + 1024]
+            if len(self.place) + len(part) > CACHE_WORDS:
+                self.place.clear()
+            total += self.rows[self._places(part)].sum(axis=0, dtype=np.int16)
         return total > 0
 
 
-def fingerprint(df: DataFrame, row_col: str, text_col: str, side, size: int, blocks: int, code_bits: int) -> DataFrame:
+def fingerprint(df: DataFrame, row_col: str, text_col: str, side, blocks: int, code_bits: int) -> DataFrame:
     """(row, side, key, print): prompts with at least one word; print is null for rows of a class
     and side that the task has met before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, make, seen = WordHasher(), Fingerprints(blocks * code_bits), set()
         for batch in batches:
-            row, held, key, made = [], [], [], []
+            row, held, bags, parts, ends = [], [], [], [], [0]
             for r, s, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 tokens = words(text)
-                if not tokens:
-                    continue
-                k = class_key(shingles(hasher(tokens), size))
-                row.append(r)
-                held.append(s)
-                key.append(k)
+                if tokens:
+                    row.append(r)
+                    held.append(s)
+                    bags.append(tokens)
+                    parts += tokens
+                    ends.append(len(parts))
+            key = sequence_keys(hasher(parts), np.array(ends, np.int64)).tolist()
+            made = []
+            for k, s, tokens in zip(key, held, bags, strict=True):
                 if (k, s) in seen:
                     made.append(None)
                     continue
@@ -112,16 +123,6 @@ def codes(prints: DataFrame, blocks: int, code_bits: int, bitmap=None) -> DataFr
     return prints.select("key", "print").mapInArrow(run, "code bigint, key bigint, " + ", ".join(f"{c} bigint" for c in check))
 
 
-def presence(code_rows: DataFrame, blocks: int, code_bits: int) -> np.ndarray:
-    """Bitmap of the codes that occur; its words are or-ed on the executors, so at most
-    ``blocks * 2**code_bits / 64`` rows reach the driver."""
-    one = F.expr("shiftleft(1L, cast(code & 63 AS int))")
-    rows = code_rows.groupBy(F.shiftright("code", 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
-    full = np.zeros(blocks << (code_bits - 6), np.int64)
-    full[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
-    return full.view(np.uint8)
-
-
 def split_overlaps(
     df: DataFrame,
     held_out,
@@ -142,19 +143,18 @@ def split_overlaps(
     members each; an empty table or side gives no links.  Other columns are not looked at.
     """
     spark = df.sparkSession
-    prints = materialize(fingerprint(df, row_col, text_col, held_out, size, blocks, code_bits), "overlap-prints")
+    prints = materialize(fingerprint(df, row_col, text_col, held_out, blocks, code_bits), "overlap-prints")
     members = prints.select("row", "held", "key")
     signed = prints.where("print IS NOT NULL")
     held = codes(signed.where("held"), blocks, code_bits)
-    bitmap = spark.sparkContext.broadcast(presence(held, blocks, code_bits))
+    bitmap = spark.sparkContext.broadcast(presence(held, code_bits + (blocks - 1).bit_length()))
     train = codes(signed.where("NOT held"), blocks, code_bits, bitmap)
     near = sum(F.bit_count(F.col(f"t.c{i}").bitwiseXOR(F.col(f"h.c{i}"))) for i in range(CHECK_BITS // 64)) <= radius
     met = train.alias("t").join(held.alias("h"), F.col("t.code") == F.col("h.code")).where(near & (F.col("t.key") != F.col("h.key")))
     pairs = materialize(met.select(F.col("t.key").alias("a"), F.col("h.key").alias("b")).distinct(), "overlap-candidates")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key")))
-    reps = representatives(keys, members)
     source = df.select(F.col(row_col).cast("bigint").alias("row"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-    texts = source.join(reps, "row").groupBy("key").agg(F.first("text").alias("text"))
+    texts = texts_of(keys, members, source)
     both = members.groupBy("key").agg(F.bool_or("held").alias("x"), F.bool_and("held").alias("y")).where("x AND NOT y")
     same = both.select(F.col("key").alias("a"), F.col("key").alias("b"), F.lit(1.0).alias("similarity"))
     return members, verify_pairs(pairs, texts, size, threshold).unionByName(same)

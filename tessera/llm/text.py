@@ -71,3 +71,42 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Of two sorted arrays of distinct values."""
     common = len(np.intersect1d(a, b, assume_unique=True))
     return common / (len(a) + len(b) - common)
+
+
+def flat_words(texts: list[str | None], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, one after another, and where each text's words begin and end."""
+    parts, ends, n = [], np.zeros(len(texts) + 1, np.int64), 0
+    for i, t in enumerate(texts):
+        w = words(t)
+        parts += w
+        n += len(w)
+        ends[i + 1] = n
+    return hasher(parts), ends
+
+
+def sequence_keys(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A signed 64-bit key of every text's word sequence."""
+    sizes = np.diff(ends)
+    within = (np.arange(len(flat)) - np.repeat(ends[:-1], sizes)).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        terms = mix(flat + (within + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+        total = np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64)])
+        return mix((total[ends[1:]] - total[ends[:-1]]) ^ mix(sizes.astype(np.uint64))).astype(np.int64)
+
+
+def flat_shingles(flat: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed runs of ``size`` words of every text, with repeats; at least one for each text."""
+    sizes = np.diff(ends)
+    n_runs = np.maximum(sizes - size + 1, 1)
+    at = np.concatenate([[0], np.cumsum(n_runs)])
+    start = np.repeat(ends[:-1], n_runs) + np.arange(at[-1]) - np.repeat(at[:-1], n_runs)
+    short = np.repeat(sizes < size, n_runs)
+    acc = np.zeros(at[-1], np.uint64)
+    last = max(len(flat) - 1, 0)
+    padded = flat if len(flat) else np.zeros(1, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + padded[np.minimum(start + k, last)])
+    if short.any():
+        acc[short] = sequence_keys(flat, ends)[sizes < size].astype(np.uint64)
+    return acc, at
