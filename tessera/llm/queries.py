@@ -7,13 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import encode, layout, leak, near_dup, pair_quality, split_overlap
+from tessera.llm import encode, layout, leak, near_dup, pack, pair_quality, split_overlap
 from tessera.session import table
 
 #: White space as Python's strip and split see it.
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
 
 
+def _split():
+    return F.lower(F.regexp_replace("dataset_split", rf"^{WS}+|{WS}+$", ""))
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    records = table(spark, sf_dir, "response_records").select("row_index", _split().alias("split"), pack.record_length("prompt", "response").alias("length"))
+    runs = table(spark, sf_dir, "response_configs").select("config_name", _split().alias("split"), "max_length")
+    return pack.pack_records(records, runs), runs
+
+
+def p1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run's sequences: the records, or pieces of longer ones, that each holds, and where."""
+    return _packed(spark, sf_dir)[0]
+
+
+def p1_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.fill_report(*_packed(spark, sf_dir))
+
+
+def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per run: pieces of records, their words, and the fullest piece."""
+    packed = _packed(spark, sf_dir)[0]
+    return packed.groupBy("config_name").agg(F.count("*").alias("n_pieces"), F.sum("length").alias("n_words"), F.max("length").alias("longest"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -84,10 +109,6 @@ def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.groups(*_near(spark, sf_dir)).withColumnRenamed("row", "row_index")
 
 
-def _split():
-    return F.lower(F.regexp_replace("dataset_split", rf"^{WS}+|{WS}+$", ""))
-
-
 def _overlaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     held = F.when(_split().isin("validation", "test"), True).when(_split() == "train", False)
     return split_overlap.split_overlaps(table(spark, sf_dir, "response_records"), held, size=3, threshold=0.5)
