@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import encode, layout, leak, near_dup, pack, pair_quality, split_overlap
+from tessera.llm import abuse, encode, layout, leak, near_dup, pack, pair_quality, split_overlap
 from tessera.session import table
 
 #: White space as Python's strip and split see it.
@@ -138,6 +138,26 @@ def p2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_found(spark, sf_dir).groupBy("record_table", "field", "defect").agg(F.count("*").alias("n_answers"))
 
 
+def _abuse_scores(spark: SparkSession, sf_dir: str, least: float) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    weights, bias = abuse.fit_labels(docs, table(spark, sf_dir, "labels"))
+    return abuse.score_documents(docs, weights, bias, keep=("source",), least=least)
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse.found(_abuse_scores(spark, sf_dir, abuse.THRESHOLD)).select("doc_id", "category")
+
+
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's scores by category."""
+    return _abuse_scores(spark, sf_dir, 0.0)
+
+
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source: documents, and the share with language of each category."""
+    return abuse.rates(_abuse_scores(spark, sf_dir, 0.0), "source")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
 
