@@ -162,10 +162,57 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
 
 
+#: Words as every query cuts them, white space as Python's split sees it, the cleaned split.
+_WORDS = r"regexp_extract_all(lower(coalesce({c}, '')), '[\p{{L}}\p{{N}}]+')"
+_SPACE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
+_CLEAN = rf"lower(regexp_replace({{c}}, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g'))".replace("{85}", "{{85}}").replace("{Z}", "{{Z}}")
+_CANON = r"regexp_replace(lower(coalesce({c}, '')), '[^\p{{L}}\p{{N}}]+', '', 'g')"
+#: Distinct runs of three words (s), sizes (z), and pairs of rows with their common runs (j), of rows in t(row_index, w).
+_SIMILAR = """
+    s AS (SELECT DISTINCT row_index, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 2], ' ') END AS run
+          FROM (SELECT row_index, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM t)),
+    z AS (SELECT row_index, count(*) AS n FROM s GROUP BY 1),
+    j AS (SELECT a.row_index AS a, b.row_index AS b, count(*) AS c FROM s a JOIN s b ON a.run = b.run AND a.row_index < b.row_index GROUP BY 1, 2)
+"""
+_LAYOUT = f"""
+    k AS (SELECT 'response_records' AS record_table, row_index, [{_CANON.format(c="prompt")}, {_CANON.format(c="response")}] AS key FROM response_records
+        UNION ALL SELECT 'preference_records', row_index, [{_CANON.format(c="prompt")}, {_CANON.format(c="chosen")}, {_CANON.format(c="rejected")}] FROM preference_records
+        UNION ALL SELECT 'raw_records', row_index, list_transform(list_sort(json_keys(payload)), lambda x: x || '=' || {_CANON.format(c="json_extract_string(payload, '$.' || x)")})
+            FROM raw_records WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'),
+    g AS (SELECT record_table, row_index, min(row_index) OVER (PARTITION BY record_table, key) AS rep, count(*) OVER (PARTITION BY record_table, key) AS n FROM k)
+"""
+_LEAKS = f"""
+    d AS (SELECT doc_id, {_WORDS.format(c="text")} AS w FROM documents), b AS (SELECT item_id, {_WORDS.format(c="text")} AS w FROM benchmark),
+    x AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 12], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+    y AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 12], ' ') AS run FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS i FROM b WHERE len(w) >= 13)),
+    f AS (SELECT DISTINCT doc_id, item_id FROM x JOIN y ON x.run = y.run)
+"""
+_N_WORDS = rf"len(list_filter(regexp_split_to_array(coalesce({{c}}, ''), '[{_SPACE}]+'), lambda x: x <> ''))".replace("{85}", "{{85}}").replace("{Z}", "{{Z}}")
+
+
 def oracle_sql() -> dict[str, str]:
+    """Where SQL can express the result on whole tables; the rest is tested against brute force."""
     return {
+        "p1_pieces": f"""
+            WITH l AS (SELECT {_CLEAN.format(c="dataset_split")} AS split, {_N_WORDS.format(c="prompt")} + {_N_WORDS.format(c="response")} + 1 AS n FROM response_records),
+            r AS (SELECT config_name, max_length AS m, n FROM l JOIN response_configs c ON l.split = {_CLEAN.format(c="c.dataset_split")})
+            SELECT config_name, sum(ceil(n / m))::BIGINT AS n_pieces, sum(n)::BIGINT AS n_words, max(least(n, m))::BIGINT AS longest FROM r GROUP BY config_name
+        """,
+        "p3_found": f"""
+            WITH t AS (SELECT row_index, {_WORDS.format(c="(coalesce(prompt, '') || ' ' || coalesce(response, ''))")} AS w FROM response_records), {_SIMILAR}
+            SELECT a AS row_index_a, b AS row_index_b FROM j JOIN z x ON x.row_index = a JOIN z y ON y.row_index = b WHERE c >= 0.5 * (x.n + y.n - c)
+        """,
+        "p4_found": f"""
+            WITH h AS (SELECT row_index, {_CLEAN.format(c="dataset_split")} AS split, {_WORDS.format(c="prompt")} AS w FROM response_records),
+            t AS (SELECT row_index, w FROM h WHERE len(w) > 0 AND split IN ('train', 'validation', 'test')), {_SIMILAR}
+            SELECT a AS row_index_a, b AS row_index_b FROM j JOIN z x ON x.row_index = a JOIN z y ON y.row_index = b JOIN h p ON p.row_index = a JOIN h q ON q.row_index = b
+            WHERE c >= 0.5 * (x.n + y.n - c) AND (p.split = 'train') <> (q.split = 'train')
+        """,
+        "p5_found": f"WITH {_LAYOUT} SELECT record_table, rep AS row_index_a, row_index AS row_index_b FROM g WHERE row_index <> rep",
+        "p5_copies": f"WITH {_LAYOUT} SELECT record_table, row_index, n AS n_copies FROM g WHERE row_index = rep",
         "p6_roundtrip": """
             SELECT count(*) AS n_documents, count(*) FILTER (coalesce(length(text), 0) = 0) AS n_empty, count(*) AS n_exact
             FROM documents
         """,
+        "p7_found": f"WITH {_LEAKS} SELECT doc_id, item_id FROM f",
     }
