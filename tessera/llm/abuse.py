@@ -207,7 +207,8 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         .limit(most)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-    return opinions.join(texts, "id").orderBy("id").limit(most).select("text", "n", *CATEGORIES).toArrow()
+    # The opinions are at most ``most`` rows, so the texts are filtered where they are read.
+    return texts.join(F.broadcast(opinions), "id").orderBy("id").limit(most).select("text", "n", *CATEGORIES).toArrow()
 
 
 def fit(texts: list[str], said: np.ndarray, opinions: np.ndarray, rounds: int = 2) -> tuple[np.ndarray, np.ndarray]:

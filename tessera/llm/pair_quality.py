@@ -25,6 +25,8 @@ from tessera.llm.text import WORD, words
 from tessera.session import spread
 
 BUCKETS, MAX_LANGUAGES, MIN_SHARE = 1 << 16, 64, 0.001
+#: Buckets of the end-of-text model: many, as a rare tail must not share one with a frequent one.
+END_BUCKETS = 1 << 22
 #: A language is told only from so many words, and by such a log-likelihood lead per character.
 LANGUAGE_WORDS, LANGUAGE_LEAD = 4, 0.25
 #: An end seen more rarely than this among its n-gram's occurrences is a break.
@@ -54,12 +56,16 @@ REFUSAL = re.compile(
     r"|(?:this|that|your) (?:request|question) (?:goes against|violates|is against|is not something|cannot be|can't be)"
     r"|(?:my|our) (?:policy|policies|guidelines|rules) (?:does|do|will)(?: not|n't)"
     r"|let's (?:talk|speak|chat) about something else|(?:can|could) we (?:talk|speak) about something else"
+    r"|ich bin nicht (?:befugt|berechtigt|in der lage|autorisiert)|es ist mir (?:leider )?nicht (?:möglich|erlaubt|gestattet)|(?:das|dies|darüber|hierzu|dabei) (?:kann|darf|möchte|werde) ich .{0,40}nicht"
+    r"|(?:к сожалению,? )?я не могу (?:помочь|ответить|обсуждать)|(?:抱歉|对不起|很遗憾).{0,20}(?:不能|无法)|我(?:不能|无法)(?:回答|帮助|讨论)"
     r"|als (?:ki|sprachmodell|künstliche)\b.{0,60}\b(?:nicht|kein)|(?:es )?tut mir (?:sehr )?leid,? (?:aber )?.{0,50}\bnicht"
     r"|leider (?:kann|darf|muss) ich|.{0,60}\b(?:darf|kann|möchte|werde) ich (?:leider )?nicht (?:beantworten|helfen|weiterhelfen|sprechen|äußern)"
     r"|dazu (?:möchte|kann|darf|werde) ich .{0,20}nicht|ich (?:kann|darf|möchte|werde) .{0,50}\bnicht (?:beantworten|helfen|äußern|dienen|weiterhelfen)"
     r"|como (?:modelo|ia|inteligencia)\b.{0,40}\bno (?:puedo|me)|lo (?:siento|lamento),? (?:pero )?no (?:puedo|es posible|me)|(?:no puedo|no me es posible) (?:ayudar|responder|contestar|hablar|comentar)"
+    r"|no (?:me está|está) permitido|no (?:estoy|me siento) (?:autorizado|autorizada|cómodo|en condiciones)|no (?:voy a|podré|quiero|debo|deseo) (?:responder|contestar|hablar|ayudar|comentar)"
     r"|prefiero no\b|lamentablemente,? no\b|me temo que no\b|(?:esa|esta|su|tu) (?:solicitud|pregunta|petición) .{0,50}\bno (?:puedo|puede|está)"
     r"|en tant qu.{0,40}\bje ne (?:peux|suis|puis)|(?:je suis )?désolée?,? (?:mais )?(?:je ne|ce n)|je (?:préfère|préférerais) ne pas|je ne (?:peux|puis|suis) pas (?:en mesure|répondre|vous aider|t'aider|aider|traiter|commenter)"
+    r"|je ne suis pas (?:autorisé|autorisée|habilité|habilitée|capable|en mesure)|il ne m'est pas (?:permis|possible)|je (?:ne veux|ne souhaite) pas (?:répondre|commenter|en parler)"
     r"|je (?:dois|me vois) .{0,20}(?:refuser|décliner)|malheureusement,? je ne|(?:cette|votre|ta) (?:demande|question) .{0,50}\bje ne (?:peux|puis)"
 )
 # Openings of sentences that may follow a refusal without being an answer.
@@ -149,15 +155,20 @@ def language_of(text: str, langs: list[str], table: np.ndarray) -> tuple[str | N
 # ---- end-of-text model --------------------------------------------------------------------------
 
 
+def is_item(line: str, stopped: bool) -> bool:
+    """A list item of at most eight words, in a list whose items carry no full stops."""
+    return not stopped and bool(ITEM.match(line)) and len(line.split()) <= 9
+
+
 def body_of(text: str) -> tuple[str, str]:
-    """(kind, text without wrapping marks and emoji at its end); kind is ``item`` for a list item
-    of at most eight words without a full stop in it, else ``text``."""
+    """(kind, text without wrapping marks and emoji at its end); kind is ``item`` if it ends with a
+    list item without a full stop, as are the items before it, else ``text``."""
     s = text.strip(WRAP)
-    while s and (ord(s[-1]) >= 0x1F000 or s[-1] in "️☺♥✓★"):
+    while s and (ord(s[-1]) >= 0x1F000 or s[-1] in "\ufe0f☺♥✓★"):
         s = s[:-1].rstrip(WRAP)
-    last = s.rsplit("\n", 1)[-1]
-    m = ITEM.match(last)
-    return ("item" if m and len(last.split()) <= 9 else "text"), s
+    *before, last = s.split("\n")
+    stopped = any(x.rstrip().endswith(tuple(FINAL)) for x in before if ITEM.match(x))
+    return ("item" if is_item(last, stopped) else "text"), s
 
 
 def tail_gram(kind: str, s: str) -> int:
@@ -167,7 +178,7 @@ def tail_gram(kind: str, s: str) -> int:
     h = 2166136261
     for ch in salt + "|" + t:
         h = ((h ^ ord(ch)) * 16777619) & 0xFFFFFFFF
-    return (h ^ (h >> 16)) & (BUCKETS - 1)
+    return (h ^ (h >> 15)) & (END_BUCKETS - 1)
 
 
 def end_model(answers: list[DataFrame]) -> np.ndarray:
@@ -176,7 +187,7 @@ def end_model(answers: list[DataFrame]) -> np.ndarray:
     Inside a text every word's end is an occurrence that isn't an end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends, alls = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        ends, alls = np.zeros(END_BUCKETS, np.int32), np.zeros(END_BUCKETS, np.int32)
         cache: dict[tuple[str, int, str], int] = {}
 
         def bucket(kind: str, n: int, tail: str) -> int:
@@ -196,10 +207,12 @@ def end_model(answers: list[DataFrame]) -> np.ndarray:
                 kind, s = body_of(CODE.sub("", text))
                 if not s or s[0] in "{[":
                     continue
-                lines = s.split("\n")
+                lines, stopped = s.split("\n"), False
                 for k, line in enumerate(lines):
                     last = k == len(lines) - 1
-                    if ITEM.match(line) and len(line.split()) <= 9:
+                    if ITEM.match(line) and line.rstrip().endswith(tuple(FINAL)):
+                        stopped = True
+                    if is_item(line, stopped):
                         parts = line.split()
                         for n in range(2, len(parts) + 1):
                             b = bucket("item", n, re.sub(r"\d", "0", parts[n - 1][-3:].lower()))
@@ -213,7 +226,7 @@ def end_model(answers: list[DataFrame]) -> np.ndarray:
                         if last and found:
                             ends[bucket("text", 0, found[-1])] += 1
         at = np.flatnonzero(alls)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(ends[at]), pa.array(alls[at])], ["at", "e", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(ends[at].astype(np.int64)), pa.array(alls[at].astype(np.int64))], ["at", "e", "n"])
 
     source = None
     for df in answers:
@@ -221,7 +234,7 @@ def end_model(answers: list[DataFrame]) -> np.ndarray:
             part = df.select(F.col(c).alias("text"))
             source = part if source is None else source.unionByName(part)
     rows = spread(source).mapInArrow(run, "at bigint, e bigint, n bigint").groupBy("at").agg(F.sum("e").alias("e"), F.sum("n").alias("n")).toArrow()
-    rate = np.full(BUCKETS, END_RATE, np.float32)
+    rate = np.full(END_BUCKETS, END_RATE, np.float32)
     e, n = rows.column("e").to_numpy(), rows.column("n").to_numpy()
     rate[rows.column("at").to_numpy()] = (e + END_PRIOR * END_RATE) / (n + END_PRIOR)
     return rate
@@ -331,7 +344,7 @@ def is_other_language(answer: str, prompt: str, prompt_words: list[str], prompt_
         return False
     known = set(prompt_words)
     plain = CODE.sub(" ", answer)
-    own = [w for w in words(plain) if w not in known and not any(c.isdigit() for c in w)]
+    own = [w for w in (re.sub(r"\d+", "", w) for w in words(plain) if w not in known) if w]
     letters = sum(map(len, own))
     if letters < 12 or (len(own) < LANGUAGE_WORDS and not any(ord(c) > 0x2E80 for w in own for c in w)):
         return False
