@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The 29 code points that Python's str.strip, str.split and \s see as white space.
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
@@ -26,7 +27,7 @@ def is_text(c: Column) -> Column:
     return c.isNotNull() & F.coalesce(c.rlike(NOT_WS), F.lit(False))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
 

@@ -154,7 +154,8 @@ def check_rows(df: DataFrame, fields: Fields, limit: int | None = None) -> DataF
         if limit <= 0:
             raise ValueError("inspection limit must be positive")
         df = df.where(F.col(fields.row_index) < limit)
-    rows = df.withColumn("record_id", record_id(fields)).withColumn("violation", violation(checks_of(df, fields)))
+    code = violation(checks_of(df, fields))
+    rows = df.withColumn("record_id", record_id(fields)).withColumn("violation", code)
     marked = duplicate_ids(rows, F.when(F.col("violation").isNull(), F.col("record_id")), F.col(fields.row_index))
     code = F.coalesce(F.col("violation"), F.when(F.col("duplicate"), F.lit("duplicate_id")))
     return marked.withColumn("violation", code).drop("duplicate")
