@@ -51,17 +51,21 @@ def ws_tokens(c: Column) -> Column:
     return F.filter(F.split(c, f"{WS}+"), lambda x: x != "")
 
 
+def numbered_tokens(tokens: Column) -> Column:
+    """Every token with the number of its occurrence, so that a multiset becomes a set."""
+    ordered = F.array(F.sort_array(tokens))
+    return F.element_at(F.transform(ordered, lambda s: F.transform(s, lambda x, i: F.concat_ws(" ", x, (i - F.array_position(s, x) + 1).cast("string")))), 1)
+
+
 def multiset_overlap(a: Column, b: Column) -> Column:
     """Size of the intersection of two token arrays as multisets."""
-    count = lambda arr, t: F.size(F.filter(arr, lambda x: x == t))
-    return F.aggregate(F.array_intersect(a, b), F.lit(0), lambda acc, t: acc + F.least(count(a, t), count(b, t)))
+    return F.size(F.array_intersect(numbered_tokens(a), numbered_tokens(b)))
 
 
 def f1_of(overlap: Column, n_a: Column, n_b: Column) -> Column:
-    """F1 of an overlap; two empty sides agree, one empty side doesn't."""
-    o, a, b = overlap.cast("double"), n_a.cast("double"), n_b.cast("double")
-    p, r = o / F.when(a > 0, a), o / F.when(b > 0, b)
-    return F.when((a == 0) & (b == 0), 1.0).when((a == 0) | (b == 0) | (o == 0), 0.0).otherwise(2 * p * r / (p + r))
+    """F1 of an overlap, 2o / (a + b); two empty sides agree, one empty side doesn't.  The overlap
+    occurs once, so it is computed once."""
+    return F.coalesce(F.try_divide(2.0 * overlap, n_a + n_b), F.lit(1.0))
 
 
 def token_f1(a: Column, b: Column) -> Column:

@@ -102,14 +102,24 @@ def record_parts(prompt: Column, response: Column, tokenizer: Tokenizer, mode: s
     return p, F.slice(full, F.size(p) + 1, F.greatest(F.size(full) - F.size(p), F.lit(0))), F.slice(full, 1, F.size(p)) == p
 
 
-def encode_records(df: DataFrame, tokenizer: Tokenizer, max_length: Column | int, mode: str = "plain", system: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(keep..., input_ids, attention_mask, labels, stable) of canonical records; the parts are
-    projected before they are used, so nothing is tokenised twice."""
-    limit = F.lit(max_length) if isinstance(max_length, int) else max_length
+def tokenize_records(df: DataFrame, tokenizer: Tokenizer, mode: str = "plain", system: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keep..., prompt_ids, response_ids, stable) of canonical records."""
     p, r, stable = record_parts(F.col("prompt"), F.col("response"), tokenizer, mode, system)
-    parts = df.select(*keep, p.alias("__p"), r.alias("__r"), stable.alias("stable"), limit.alias("__m"))
-    encoded = parts.select(*keep, "stable", encode_pair(F.col("__p"), F.col("__r"), tokenizer.eos, F.col("__m")).alias("__e"))
-    return encoded.select(*keep, "__e.input_ids", "__e.attention_mask", "__e.labels", "stable")
+    return df.select(*keep, p.alias("prompt_ids"), r.alias("response_ids"), stable.alias("stable"))
+
+
+def encode_tokenized(df: DataFrame, eos: int, max_length: Column | int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keep..., input_ids, attention_mask, labels) of tokenised records."""
+    limit = F.lit(max_length) if isinstance(max_length, int) else max_length
+    encoded = df.select(*keep, encode_pair(F.col("prompt_ids"), F.col("response_ids"), eos, limit).alias("__e"))
+    return encoded.select(*keep, "__e.input_ids", "__e.attention_mask", "__e.labels")
+
+
+def encode_records(df: DataFrame, tokenizer: Tokenizer, max_length: int, mode: str = "plain", system: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keep..., stable, input_ids, attention_mask, labels) of canonical records; the parts are
+    projected before they are used, so nothing is tokenised twice."""
+    parts = tokenize_records(df, tokenizer, mode, system, keep)
+    return encode_tokenized(parts, tokenizer.eos, max_length, (*keep, "stable"))
 
 
 def pad_batches(df: DataFrame, order: str, batch: Column | int, pad_id: int, side: str = "right", keep: tuple[str, ...] = ()) -> DataFrame:

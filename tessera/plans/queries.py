@@ -15,7 +15,7 @@ from tessera.functions import arrays as A
 from tessera.functions import text as X
 from tessera.operators import artifacts, contracts, encoding, kernels, logs, metrics, sampling, vocab
 from tessera.operators.contracts import PreferenceFields, ResponseFields
-from tessera.session import table
+from tessera.session import spread, table
 from tessera.sources.json_rows import canonical_payloads
 
 SEED, SAMPLE, TEMPERATURE, ALPHA = 42, 200, 2.0, 0.5
@@ -426,8 +426,10 @@ def _digest(c: str) -> Column:
 
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _responses(spark, sf_dir).where(X.is_text(F.col("prompt")) & X.is_text(F.col("response"))).select("row_index", "prompt", "response", _split().alias("split"))
-    return encoding.encode_records(_run_rows(spark, sf_dir, rows), TOKENIZER, F.col("max_length"), keep=("config_name", "row_index", "position", "batch"))
+    """Records are tokenised once, before they are taken into the runs of their split."""
+    rows = spread(_responses(spark, sf_dir).where(X.is_text(F.col("prompt")) & X.is_text(F.col("response"))).select("row_index", "prompt", "response", _split().alias("split")))
+    parts = encoding.tokenize_records(rows, TOKENIZER, keep=("row_index", "split"))
+    return encoding.encode_tokenized(_run_rows(spark, sf_dir, parts), TOKENIZER.eos, F.col("max_length"), ("config_name", "row_index", "position", "batch"))
 
 
 @query(f"WITH {_ENCODED} SELECT config_name, row_index, {_join('input_ids')} AS input_ids, {_join('labels')} AS labels, len(input_ids)::BIGINT AS n_tokens FROM e")
