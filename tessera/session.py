@@ -53,9 +53,10 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = current.get() if current.isDefined() else "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        sc = spark.sparkContext
+        if not sc._jsc.sc().getCheckpointDir().isDefined():
+            sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tessera-"))
+        path = sc._jsc.sc().getCheckpointDir().get()
     return path.rstrip("/")
 
 
