@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from tessera.session import materialize, spread
 
-#: Rows of a bucket that fit, bytes by which a bucket is split at each level, the deepest level,
-#: and the salts of a bucket that bytes can't split.
-BUCKET_ROWS, STEP_BYTES, MAX_LEVEL, SALTS = 50_000, 8, 64, 64
+#: Rows of a bucket that fit, bytes by which level 1 splits a bucket (each level takes twice as many
+#: more), the deepest level, and the salts of a bucket that bytes can't split.
+BUCKET_ROWS, STEP_BYTES, MAX_LEVEL, SALTS = 50_000, 8, 24, 64
 DROP = re.compile(r"[\W_]+")
 END = b"\x00"
 
@@ -72,10 +72,15 @@ def canonical_rows(df: DataFrame, row_col: str, fields: list[str], as_json: bool
     return spread(df.select(F.col(row_col).cast("bigint"), *fields)).mapInArrow(run, "tab string, row bigint, head binary, body binary")
 
 
+def _bytes(level: int, step: int) -> int:
+    """Canonical bytes that count at a level: doubling steps, so a text of any length takes few."""
+    return min(step * (2**level - 1), 2**31 - 1)
+
+
 def _prefix(level: int, step: int):
-    """The radix key of a level: table and lengths, then ``level`` steps of the canonical bytes."""
+    """The radix key of a level: table, lengths, and the level's canonical bytes."""
     key = F.concat(F.encode(F.col("tab"), "UTF-8"), F.lit(END), F.col("head"))
-    return F.concat(key, F.substring("body", 1, level * step)) if level else key
+    return F.concat(key, F.substring("body", 1, _bytes(level, step))) if level else key
 
 
 def radix_plan(rows: DataFrame, bucket_rows: int, step: int, max_level: int) -> tuple[int, DataFrame | None, DataFrame | None]:
@@ -83,12 +88,15 @@ def radix_plan(rows: DataFrame, bucket_rows: int, step: int, max_level: int) ->
     split at each level (key, level) and those that can't be split (key); None where there are none.
 
     Every level counts only rows inside buckets that were too large a level before.  The number of
-    such prefixes is at most rows / bucket_rows per level, whatever the data."""
+    such prefixes is at most rows / bucket_rows per level, whatever the data.  A bucket can't be
+    split if its records are all the same, or its bytes or levels are used up."""
     spark = rows.sparkSession
     split, stuck, level, open_rows = None, None, 0, rows
+    whole = F.xxhash64("tab", "head", "body")
     while True:
         key = F.xxhash64(_prefix(level, step))
-        counts = open_rows.groupBy(key.alias("key")).agg(F.count("*").alias("n"), F.max(F.length("body") > level * step).alias("more"))
+        same = F.min(whole) == F.max(whole)
+        counts = open_rows.groupBy(key.alias("key")).agg(F.count("*").alias("n"), (F.max(F.length("body") > _bytes(level, step)) & ~same).alias("more"))
         large = counts.where(F.col("n") > bucket_rows).select("key", "more").collect()  # at most rows / bucket_rows
         deeper = [r.key for r in large if r.more and level < max_level]
         ended = [r.key for r in large if not (r.more and level < max_level)]
