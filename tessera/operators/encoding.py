@@ -152,6 +152,13 @@ def positions(df: DataFrame, partition: list[str], order: str) -> DataFrame:
     return rows.withColumn("position", (F.col("__own") + F.col("__ahead")).cast("bigint")).drop("__own", "__ahead", "__range")
 
 
+def micro_batches(df: DataFrame, order: str, size: int, keep_start: int | None = None) -> DataFrame:
+    """Adds ``batch_id``: consecutive rows (``order`` from 0), ``size`` to a batch, as a generator takes
+    them; with ``keep_start`` the prompt ids keep their first so many."""
+    rows = df.withColumn("batch_id", F.floor(F.col(order) / F.lit(size)).cast("bigint"))
+    return rows if keep_start is None else rows.withColumn("prompt_ids", F.slice("prompt_ids", 1, keep_start))
+
+
 def preference_texts(prompt: Column, chosen: Column, rejected: Column, fmt: str, mode: str = "plain", system: str | None = None) -> tuple[Column, Column, Column]:
     """(prompt text, prompt with chosen, prompt with rejected).  Conversational rows always take
     the template and leave the configured system prompt out."""

@@ -44,6 +44,13 @@ def specials_of(payload: dict) -> str:
     return json.dumps(kept, sort_keys=True, ensure_ascii=False)
 
 
+def payload_of(tokenizer: object) -> dict:
+    """The payload of a loaded tokenizer: its vocabulary and, where it has one, its map of special tokens."""
+    vocab = tokenizer.get_vocab()
+    specials = getattr(tokenizer, "special_tokens_map", None)
+    return {"vocab": dict(vocab)} | ({"special_tokens": dict(specials)} if specials else {})
+
+
 def vocab_table(spark: SparkSession, payload: dict) -> DataFrame:
     return spark.createDataFrame(list(vocab_of(payload).items()), "token string, id bigint")
 
@@ -59,12 +66,15 @@ def gate(n_different: int, same_specials: bool) -> str:
     return "vocab_mismatch" if n_different else "compatible" if same_specials else "special_tokens_mismatch"
 
 
-def check_tokenizers(spark: SparkSession, teacher_path: str, student_path: str) -> str:
-    a, b = load_payload(teacher_path), load_payload(student_path)
+def check_payloads(spark: SparkSession, a: dict, b: dict) -> str:
     different = vocab_diff(vocab_table(spark, a), vocab_table(spark, b)).limit(1).count()
     return gate(different, specials_of(a) == specials_of(b))
 
 
+def check_tokenizers(spark: SparkSession, teacher_path: str, student_path: str) -> str:
+    return check_payloads(spark, load_payload(teacher_path), load_payload(student_path))
+
+
 def require_compatible(spark: SparkSession, teacher_path: str, student_path: str) -> None:
     reason = check_tokenizers(spark, teacher_path, student_path)
     if reason != "compatible":

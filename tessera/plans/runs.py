@@ -11,9 +11,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import contracts, encoding, kernels, metrics, sampling
+from tessera.operators import contracts, encoding, kernels, metrics, sampling, vocab
 from tessera.operators.contracts import PreferenceFields, ResponseFields
-from tessera.sources import registry, sinks
+from tessera.sources import models, registry, sinks
 from tessera.sources.config import Settings
 
 #: What a dry run shows, as paths into the configuration.
@@ -78,6 +78,31 @@ def inspect(df: DataFrame, fields: contracts.Fields, limit: int | None = None) -
     return out | ({"format": contracts.dataset_format(df, fields)} if isinstance(fields, PreferenceFields) else {})
 
 
+def validate_inputs(spark: SparkSession, kind: str, config: Settings, limit: int | None = None, catalog: models.Catalog | None = None) -> dict[str, Any]:
+    """Everything a run needs, without running it: model references resolve, tokenizers agree where
+    the run asks for it, and the data keeps its contract."""
+    out: dict[str, Any] = {}
+    if kind == "response":
+        refs = {"model": (config.model.model_name_or_path, config.model.revision), "tokenizer": (config.model.tokenizer_name_or_path, config.model.revision)}
+    elif kind == "preference":
+        refs = {"model": (config.source.checkpoint_path, config.source.revision), "tokenizer": (config.source.tokenizer_path, config.source.revision)}
+    elif kind == "logit":
+        refs = {n: (getattr(config, n).checkpoint_path, getattr(config, n).revision) for n in ("teacher", "student")}
+        if config.compatibility.require_same_tokenizer:
+            vocab.require_compatible(spark, config.teacher.tokenizer_path, config.student.tokenizer_path)
+    else:
+        refs = {m.name: (m.model_name_or_path, m.revision) for m in config.models}
+    out["models"] = {n: vars(models.resolve(ref, rev, catalog)) for n, (ref, rev) in refs.items()}
+    fields = {"preference": preference_fields, "evaluation": eval_fields}.get(kind, response_fields)(config.data)
+    df = load(spark, config.data)
+    out["data"] = inspect(df, fields, limit)
+    if kind == "evaluation":
+        if out["data"]["inspected_rows"] == 0:
+            raise contracts.ContractError("evaluation data must have at least one row")
+        out["preference_data"] = inspect(load(spark, config.preference_data), preference_fields(config.preference_data, metadata=False), limit)
+    return out
+
+
 def _limited(df: DataFrame, limit: int | None) -> DataFrame:
     """The training prefix, after the whole source was checked."""
     if limit is None:

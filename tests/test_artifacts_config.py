@@ -40,6 +40,19 @@ def test_stale_keys_and_batches(spark):
     assert len(got) == 2400 and got["k00100"] == 0 and got["k01099"] == 0 and got["k01100"] == 1 and got["k02499"] == 2
 
 
+def test_listing_and_plans(spark, tmp_path):
+    (tmp_path / "r" / "sub").mkdir(parents=True)
+    for name in ("a.txt", "sub/b.txt"):
+        (tmp_path / "r" / name).write_text("x")
+    remote = A.remote_keys(spark, str(tmp_path / "r"))
+    assert {r.key for r in remote.collect()} == {"a.txt", "sub/b.txt"}
+    assert A.remote_keys(spark, str(tmp_path / "none")).count() == 0
+    local = spark.createDataFrame([("a.txt",), ("c.txt",)], "key string")
+    assert {tuple(r) for r in A.push_plan(remote, local, True).collect()} == {("a.txt", "upload"), ("c.txt", "upload"), ("sub/b.txt", "delete")}
+    assert A.push_plan(remote, local, False).count() == 2
+    assert {r.key for r in A.pull_plan(spark.createDataFrame([("d/",), ("d/x",)], "key string")).collect()} == {"d/x"}
+
+
 def test_object_uris():
     assert A.object_uri("b", "/x/", "r") == "s3://b/x/r/" and A.object_uri("b", None, "r") == "s3://b/r/"
     assert A.parse_object_uri("s3://b/x/r") == A.ObjectLocation("b", "x/r/")
@@ -62,6 +75,14 @@ def test_tokenizer_gate(spark, tmp_path):
     with pytest.raises(ValueError, match="vocab_mismatch"):
         V.require_compatible(spark, a, c)
     assert V.vocab_of({"x": 0}) == {"x": 0}
+
+    class Loaded:
+        special_tokens_map = {"eos_token": "y"}
+
+        def get_vocab(self):
+            return {"x": 0, "y": 1}
+
+    assert V.check_payloads(spark, V.payload_of(Loaded()), V.payload_of(Loaded())) == "compatible"
     with pytest.raises(ValueError):
         V.vocab_of({"model": {}})
 
@@ -127,6 +148,8 @@ def test_training_set_from_a_registered_source(spark):
     rows = runs.response_training_set(runs.load(spark, config.data), config.data, config.formatting, config.training, __import__("tessera.operators.encoding", fromlist=["x"]).WordHashTokenizer(), 2).collect()
     assert sorted(len(r.input_ids) for r in rows) == [6, 8]
     assert runs.inspect(df, runs.response_fields(config.data))["unique_ids"] == 3
+    seen = runs.validate_inputs(spark, "response", config, 2, lambda ref, rev: (ref, "sha"))
+    assert seen["data"]["inspected_rows"] == 2 and seen["models"]["model"]["commit"] == "sha"
     bad = df.withColumn("response", df.prompt.substr(9, 1))
     with pytest.raises(ValueError, match="row 0: response"):
         runs.inspect(bad, runs.response_fields(config.data))
