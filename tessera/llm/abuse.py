@@ -32,8 +32,8 @@ BATCH = 256
 LEAST_FEATURES = 16
 #: Share of the sentences of unsuspicious documents that serve as counterexamples.
 NEGATIVES = 0.3
-#: Score from which a sentence counts.
-THRESHOLD = 0.3
+#: Scores from which a sentence counts.
+THRESHOLDS = {"abusive": 0.3, "hateful": 0.15, "sexual": 0.3}
 CACHE = 300_000
 
 # Digits and signs used for letters, letters of other scripts that look like Latin ones.
@@ -94,7 +94,7 @@ class Sentences:
         cache, out, sent, doc, n = self.cache, [], [], [], 0
         for d, text in enumerate(texts):
             if text:
-                text = text.replace("\n", " \x00 ")
+                text = text.replace("\n", " \x00 ").replace("。", "。 ")
                 if SPREAD.search(text):
                     text = SPREAD.sub(lambda m: m.group(0).replace(" ", "").replace("\t", ""), text)
                 begun = len(out)
@@ -277,13 +277,13 @@ def fit_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     return fit(rows.column("text").to_pylist(), said, rows.column("n").to_numpy())
 
 
-def found(scores: DataFrame, id_col: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+def found(scores: DataFrame, id_col: str = "doc_id", thresholds: dict[str, float] = THRESHOLDS) -> DataFrame:
     """(id, category, score): one row for each category that a document reaches."""
-    each = F.explode(F.array(*(F.struct(F.lit(c).alias("category"), F.col(c).alias("score")) for c in CATEGORIES)))
-    return scores.select(id_col, each.alias("x")).select(id_col, "x.category", "x.score").where(F.col("score") >= threshold)
+    each = F.array(*(F.struct(F.lit(c).alias("category"), F.col(c).alias("score"), F.lit(thresholds[c]).alias("least")) for c in CATEGORIES))
+    return scores.select(id_col, F.explode(each).alias("x")).where("x.score >= x.least").select(id_col, "x.category", "x.score")
 
 
-def rates(scores: DataFrame, source_col: str, threshold: float = THRESHOLD) -> DataFrame:
+def rates(scores: DataFrame, source_col: str, thresholds: dict[str, float] = THRESHOLDS) -> DataFrame:
     """Per source: documents, and the share with each category."""
-    flags = [F.round(F.avg((F.col(c) >= threshold).cast("double")), 6).alias(f"{c}_rate") for c in CATEGORIES]
+    flags = [F.round(F.avg((F.col(c) >= thresholds[c]).cast("double")), 6).alias(f"{c}_rate") for c in CATEGORIES]
     return scores.groupBy(F.coalesce(source_col, F.lit("(none)")).alias(source_col)).agg(F.count("*").alias("n_documents"), *flags)

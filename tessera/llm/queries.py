@@ -145,7 +145,7 @@ def _abuse_scores(spark: SparkSession, sf_dir: str, least: float) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return abuse.found(_abuse_scores(spark, sf_dir, abuse.THRESHOLD)).select("doc_id", "category")
+    return abuse.found(_abuse_scores(spark, sf_dir, min(abuse.THRESHOLDS.values()))).select("doc_id", "category")
 
 
 def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
