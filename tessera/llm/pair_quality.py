@@ -28,7 +28,7 @@ BUCKETS, MAX_LANGUAGES, MIN_SHARE = 1 << 16, 64, 0.001
 #: Buckets of the end-of-text model: many, as a rare tail must not share one with a frequent one.
 END_BUCKETS = 1 << 22
 #: A language is told only from so many words, and by such a log-likelihood lead per character.
-LANGUAGE_WORDS, LANGUAGE_LEAD = 4, 0.25
+LANGUAGE_WORDS, LANGUAGE_LEAD = 4, 0.5
 #: An end seen more rarely than this among its n-gram's occurrences is a break.
 END_RATE, END_PRIOR = 0.02, 0.5
 #: Answers of at most so many words need no end mark.
