@@ -7,7 +7,7 @@ that agree in a whole code are candidates, stay so if a check part of their fing
 the Hamming radius, and are then compared exactly.
 
 Before the shuffle, codes of the training side that no held-out prompt has are dropped by one
-bitmap per block: ``blocks * 2**code_bits`` bits, 8 MB at the defaults whatever the data.
+bitmap per block: ``blocks * 2**code_bits`` bits, 10 MB at the defaults whatever the data.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from tessera.llm.similarity import presence, texts_of, verify_pairs
 from tessera.llm.text import WordHasher, sequence_keys, words
 from tessera.session import materialize, spread
 
-BLOCKS, CODE_BITS = 60, 20
+BLOCKS, CODE_BITS = 80, 20
 #: The first bits of the fingerprint are also compared as a whole, within this Hamming radius.
 CHECK_BITS, RADIUS = 192, 56
 #: Words whose bits a task keeps, and keys a task remembers so as not to fingerprint copies again.
