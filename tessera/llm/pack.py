@@ -3,12 +3,17 @@
 Only counts of lengths are planned, never records: best-fit decreasing over (length, count) takes
 whole ranges of equal sequences at a time, so its cost depends on the capacity, not on the number
 of records.  The plan is a list of slots, each a range of ranks within a length; records find their
-slot by joining on their rank within their length.
+slots by joining on their rank within their length.
+
+Records longer than the capacity are cut anyway: into full sequences and a rest.  Rests come last
+and fill the room that whole records left; one that fits nowhere as a whole is cut once more at the
+largest room, rather than open another sequence.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +26,8 @@ WORD_RUN = r"[^\s\x1c-\x1f\x85\p{Z}]+"
 BLOCK_ROWS = 500_000
 #: Runs planned at once: their table, and their histograms on the driver, are small.
 MAX_RUNS = 1_000
+#: Words of the shortest piece that a rest is cut into.
+MIN_PIECE = 8
 #: The plan is broadcast up to so many slots (about 50 bytes each).
 BROADCAST_SLOTS = 200_000
 
@@ -30,60 +37,88 @@ def record_length(*cols: str):
     return sum((F.coalesce(F.regexp_count(F.col(c), F.lit(WORD_RUN)), F.lit(0)) for c in cols), F.lit(1)).cast("bigint")
 
 
-def plan_slots(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
-    """Best-fit decreasing over counts.  Returns slots (length, first rank, last rank + 1, first
-    sequence, place in the sequence) and the number of sequences.
+#: cut, length, first rank, last rank + 1, first sequence, place in it, part of the rest, words
+Slot = tuple[bool, int, int, int, int, int, int, int]
+
 
-    Rank r of the length goes to sequence ``first sequence + r - first rank``.  Equal sequences are
-    kept as ranges by room left, and a length takes the ranges with the least sufficient room first.
+def plan_slots(whole: dict[int, int], rests: dict[int, int], capacity: int, min_piece: int = MIN_PIECE) -> tuple[list[Slot], int]:
+    """Best-fit decreasing over counts by length.  Returns slots and the number of sequences.
+
+    Rank r of the slot's length goes to sequence ``first sequence + r - first rank``.  Equal sequences
+    are kept as ranges by room left, and a length takes the ranges with the least sufficient room first.
     """
-    slots: list[tuple[int, int, int, int, int]] = []
+    slots: list[Slot] = []
     by_room: dict[int, list[tuple[int, int]]] = {}  # room left: ranges (first sequence, count)
     rooms: list[int] = []  # sorted
     n_seq = 0
 
     def give(room: int, first: int, count: int) -> None:
-        if room <= 0:
+        if room <= 0 or count <= 0:
             return
         if room not in by_room:
             by_room[room] = []
             insort(rooms, room)
         by_room[room].append((first, count))
 
-    for length in sorted(counts, reverse=True):
-        left, rank = counts[length], 0
+    def take(i: int, most: int) -> tuple[int, int, int]:
+        """(room, first, count) of at most ``most`` sequences with the i-th room."""
+        room = rooms[i]
+        first, count = by_room[room].pop()
+        if not by_room[room]:
+            del by_room[room]
+            rooms.pop(i)
+        m = min(most, count)
+        give(room, first + m, count - m)
+        return room, first, m
+
+    def open_for(cut: bool, length: int, rank: int, left: int, part: int, words: int) -> None:
+        """New sequences: as many as are needed if each takes as many of these as fit."""
+        nonlocal n_seq
+        per, first = capacity // words, n_seq
+        m = -(-left // per)
+        n_seq += m
+        for k in range(per):
+            at = k * m
+            if at >= left:
+                break
+            slots.append((cut, length, rank + at, rank + min(at + m, left), first, k * words, part, words))
+        full, more = divmod(left, m)
+        give(capacity - (full + 1) * words, first, more)
+        give(capacity - full * words, first + more, m - more)
+
+    for length in sorted(whole, reverse=True):
+        left, rank = whole[length], 0
         while left:
             i = bisect_left(rooms, length)
-            if i < len(rooms):
-                room = rooms[i]
-                first, count = by_room[room].pop()
-                if not by_room[room]:
-                    del by_room[room]
-                    rooms.pop(i)
-                m = min(left, count)
-                if m < count:
-                    give(room, first + m, count - m)
-            else:
-                # New sequences: as many as are needed if each takes as many of this length as fit.
-                room, first = capacity, n_seq
-                m = -(-left // (capacity // length))
-                n_seq += m
-                per, at = capacity // length, 0
-                for k in range(per):
-                    take = min(m, left - at)
-                    if take <= 0:
-                        break
-                    slots.append((length, rank + at, rank + at + take, first, k * length))
-                    at += take
-                full, rest = divmod(left, m)
-                # The first ``rest`` sequences hold one more.
-                give(capacity - (full + 1) * length, first, rest)
-                give(capacity - full * length, first + rest, m - rest)
-                rank, left = rank + left, 0
-                continue
-            slots.append((length, rank, rank + m, first, capacity - room))
+            if i == len(rooms):
+                open_for(False, length, rank, left, 0, length)
+                break
+            room, first, m = take(i, left)
+            slots.append((False, length, rank, rank + m, first, capacity - room, 0, length))
             give(room - length, first, m)
             rank, left = rank + m, left - m
+
+    # Words still to place, the longest first: their rest's length, ranks, and parts placed so far.
+    todo = [(-length, length, 0, count, 0) for length, count in rests.items() if count]
+    heapify(todo)
+    while todo:
+        words, length, lo, hi, part = heappop(todo)
+        words = -words
+        i = bisect_left(rooms, words)
+        if i < len(rooms):
+            room, first, m = take(i, hi - lo)
+            piece = words
+        elif rooms and min(rooms[-1], words - min_piece) >= min_piece:
+            room, first, m = take(len(rooms) - 1, hi - lo)
+            piece = min(room, words - min_piece)
+            heappush(todo, (piece - words, length, lo, lo + m, part + 1))
+        else:
+            open_for(True, length, lo, hi - lo, part, words)
+            continue
+        slots.append((True, length, lo, lo + m, first, capacity - room, part, piece))
+        give(room - piece, first, m)
+        if lo + m < hi:
+            heappush(todo, (-words, length, lo + m, hi, part))
     return slots, n_seq
 
 
@@ -92,8 +127,8 @@ def pack_records(records: DataFrame, runs: DataFrame, row_col: str = "row_index"
 
     ``records`` has (row, split, length), ``runs`` (run, split, capacity) with one row a run; a run
     takes the records whose ``split`` equals its own.  A record of at most the capacity is one piece
-    (0); a longer one is cut into full sequences and a rest, in that order.  ``place`` is the number
-    of words before the piece in its sequence.  Runs without capacity or split get nothing, equal runs count once, records
+    (0); a longer one is cut into full sequences and the parts of its rest, numbered in that order.
+    ``place`` is the number of words before the piece in its sequence.  Runs without capacity or split get nothing, equal runs count once, records
     without a split belong to none, repeated rows are packed each, an empty table gives no rows.
     """
     runs = runs.select(F.col(run_col).alias("run"), F.col("split"), F.col(capacity_col).cast("bigint").alias("cap")).where("cap > 0 AND split IS NOT NULL").distinct()
@@ -104,35 +139,36 @@ def pack_records(records: DataFrame, runs: DataFrame, row_col: str = "row_index"
         n_records.join(F.broadcast(runs), "split")
         .withColumn("full", F.when(F.col("length") > F.col("cap"), F.floor(F.col("length") / F.col("cap"))).otherwise(F.lit(0)).cast("bigint"))
         .withColumn("rest", F.col("length") - F.col("full") * F.col("cap"))
+        .withColumn("cut", F.col("full") > 0)
     )
     blocks = max(1, -(-n_records.count() // block_rows))
     pieces = pieces.withColumn("block", F.pmod(F.xxhash64("row", "length"), F.lit(blocks)).cast("int"))
     # Counts by run, rest length and block: at most runs * capacity * blocks rows, before blocks are summed.
-    sizes = materialize(pieces.groupBy("run", "cap", "rest", "block").agg(F.count("*").alias("n"), F.sum("full").alias("fulls")), "pack-histogram")
-    by_length = sizes.groupBy("run", "cap", "rest").agg(F.sum("n").alias("n"), F.sum("fulls").alias("fulls")).collect()  # at most runs * capacity
-    hist: dict[tuple[str, int], dict[int, int]] = {}
+    sizes = materialize(pieces.groupBy("run", "cap", "cut", "rest", "block").agg(F.count("*").alias("n"), F.sum("full").alias("fulls")), "pack-histogram")
+    by_length = sizes.groupBy("run", "cap", "cut", "rest").agg(F.sum("n").alias("n")).collect()  # at most runs * capacity
+    hist: dict[tuple[str, int], tuple[dict[int, int], dict[int, int]]] = {}
     for r in by_length:
-        counts = hist.setdefault((r.run, r.cap), {})
+        counts = hist.setdefault((r.run, r.cap), ({}, {}))
         if r.rest:
-            counts[r.rest] = r.n
+            counts[r.cut][r.rest] = r.n
     slots, bases = [], []
-    for (run, cap), counts in sorted(hist.items()):
-        made, n_seq = plan_slots(counts, cap)
+    for (run, cap), (whole, rests) in sorted(hist.items()):
+        made, n_seq = plan_slots(whole, rests, cap)
         slots += [(run, *s) for s in made]
         bases.append((run, n_seq))
     spark = records.sparkSession
-    plan = spark.createDataFrame(slots, "run string, rest bigint, lo bigint, hi bigint, seq bigint, place bigint")
+    plan = spark.createDataFrame(slots, "run string, cut boolean, rest bigint, lo bigint, hi bigint, seq bigint, place bigint, part bigint, words bigint")
     plan = F.broadcast(plan) if len(slots) <= BROADCAST_SLOTS else plan
     base = F.broadcast(spark.createDataFrame(bases, "run string, base bigint"))
 
     # Rank within the length: rows before in earlier blocks plus rank in the own block.
-    before = Window.partitionBy("run", "rest").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("run", "rest", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
-    own = Window.partitionBy("run", "rest", "block").orderBy("row", "length")
+    before = Window.partitionBy("run", "cut", "rest").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("run", "cut", "rest", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    own = Window.partitionBy("run", "cut", "rest", "block").orderBy("row", "length")
     ranked = pieces.where("rest > 0").withColumn("rank", F.row_number().over(own) - 1)
-    ranked = ranked.join(offsets, ["run", "rest", "block"]).withColumn("rank", F.col("rank") + F.col("ahead"))
-    whole = ranked.join(plan, ["run", "rest"]).where("rank >= lo AND rank < hi")
-    whole = whole.select("run", (F.col("seq") + F.col("rank") - F.col("lo")).alias("sequence"), "row", F.col("full").alias("piece"), "place", F.col("rest").alias("length"))
+    ranked = ranked.join(offsets, ["run", "cut", "rest", "block"]).withColumn("rank", F.col("rank") + F.col("ahead"))
+    whole = ranked.join(plan, ["run", "cut", "rest"]).where("rank >= lo AND rank < hi")
+    whole = whole.select("run", (F.col("seq") + F.col("rank") - F.col("lo")).alias("sequence"), "row", (F.col("full") + F.col("part")).alias("piece"), "place", F.col("words").alias("length"))
 
     # Full sequences of longer records, numbered after the planned ones.
     long = pieces.where("full > 0")

@@ -33,10 +33,10 @@ def p1_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.fill_report(*_packed(spark, sf_dir))
 
 
-def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per run: pieces of records, their words, and the fullest piece."""
+def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per run: records that the sequences hold, their words, and the longest piece."""
     packed = _packed(spark, sf_dir)[0]
-    return packed.groupBy("config_name").agg(F.count("*").alias("n_pieces"), F.sum("length").alias("n_words"), F.max("length").alias("longest"))
+    return packed.groupBy("config_name").agg(F.countDistinct("row_index").alias("n_records"), F.sum("length").alias("n_words"), F.max("length").alias("longest"))
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,10 +193,10 @@ _N_WORDS = rf"len(list_filter(regexp_split_to_array(coalesce({{c}}, ''), '[{_SPA
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express the result on whole tables; the rest is tested against brute force."""
     return {
-        "p1_pieces": f"""
+        "p1_records": f"""
             WITH l AS (SELECT {_CLEAN.format(c="dataset_split")} AS split, {_N_WORDS.format(c="prompt")} + {_N_WORDS.format(c="response")} + 1 AS n FROM response_records),
             r AS (SELECT config_name, max_length AS m, n FROM l JOIN response_configs c ON l.split = {_CLEAN.format(c="c.dataset_split")})
-            SELECT config_name, sum(ceil(n / m))::BIGINT AS n_pieces, sum(n)::BIGINT AS n_words, max(least(n, m))::BIGINT AS longest FROM r GROUP BY config_name
+            SELECT config_name, count(*) AS n_records, sum(n)::BIGINT AS n_words, max(least(n, m))::BIGINT AS longest FROM r GROUP BY config_name
         """,
         "p3_found": f"""
             WITH t AS (SELECT row_index, {_WORDS.format(c="(coalesce(prompt, '') || ' ' || coalesce(response, ''))")} AS w FROM response_records), {_SIMILAR}

@@ -1,4 +1,3 @@
-import json
 import random
 
 import pytest
@@ -77,7 +76,8 @@ def test_packing_keeps_the_rules(spark, block_rows):
         assert set(pieces) == {i for i, x in split.items() if x == s}
         for i, p in pieces.items():
             assert sorted(k for k, _ in p) == list(range(len(p))) and sum(n for _, n in p) == lengths[i]
-            assert len(p) == -(-lengths[i] // cap)
+            assert len(p) >= -(-lengths[i] // cap) and (len(p) == 1 or lengths[i] > cap)
+            assert all(n >= min(pack.MIN_PIECE, lengths[i] % cap) for _, n in p if lengths[i] > cap)
         for items in sequences.values():
             end = 0
             for place, n in sorted(items):
@@ -86,7 +86,7 @@ def test_packing_keeps_the_rules(spark, block_rows):
             assert end <= cap
         assert sorted(sequences) == list(range(len(sequences)))
         total = sum(lengths[i] for i in pieces)
-        assert len(sequences) <= 1.25 * -(-total // cap) + 1
+        assert len(sequences) <= 1.2 * -(-total // cap) + 1
     assert {r.config_name for r in got} == {"a", "b", "c"}
     report = {r.config_name: r for r in pack.fill_report(pack.pack_records(records, runs, block_rows=block_rows), runs.distinct()).collect()}
     assert report["a"].n_words == sum(lengths[i] for i, x in split.items() if x == "train") and 0 < report["a"].fill <= 1
@@ -99,7 +99,32 @@ def test_packing_empty(spark):
     assert pack.pack_records(records, runs.limit(0)).count() == 0
 
 
-def test_plan_is_best_fit():
-    slots, n = pack.plan_slots({6: 2, 4: 2, 3: 1, 1: 5}, 10)
-    assert n == 3 and sum(hi - lo for _, lo, hi, _, _ in slots) == 10
-    assert json.dumps(slots)
+def check_plan(whole, rests, cap):
+    slots, n = pack.plan_slots(whole, rests, cap)
+    used, placed = [0] * n, {}
+    for cut, length, lo, hi, seq, place, part, words in sorted(slots, key=lambda x: x[5]):
+        for r in range(lo, hi):
+            assert used[seq + r - lo] == place
+            used[seq + r - lo] += words
+            placed.setdefault((cut, length, r), {})[part] = words
+    assert max(used, default=0) <= cap and all(used)
+    for cut, counts in ((False, whole), (True, rests)):
+        for length, count in counts.items():
+            for r in range(count):
+                parts = placed.pop((cut, length, r))
+                assert sorted(parts) == list(range(len(parts))) and sum(parts.values()) == length and (cut or len(parts) == 1)
+    assert not placed
+    return n
+
+
+def test_plans_keep_the_rules():
+    rng = random.Random(7)
+    for _ in range(300):
+        cap = rng.choice([5, 17, 64, 128])
+        draw = lambda: {n: rng.randint(1, 40) for n in rng.sample(range(1, cap + 1), rng.randint(0, min(cap, 12)))}
+        whole, rests = draw(), {k: v for k, v in draw().items() if k < cap}
+        n = check_plan(whole, rests, cap)
+        assert n >= -(-sum(k * v for c in (whole, rests) for k, v in c.items()) // cap)
+    assert check_plan({6: 2, 4: 2, 3: 1, 1: 5}, {}, 10) == 3
+    assert check_plan({100: 10}, {56: 5}, 128) == 10  # every rest is cut to fill two rooms
+    assert check_plan({}, {}, 10) == 0
