@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,9 +203,3 @@ def require_valid(df: DataFrame, fields: Fields, limit: int | None = None) -> No
     """Raises the first violation in source order; one job."""
     for r in first_violation(check_rows(df, fields, limit), fields.row_index).collect():  # at most one row
         raise ContractError(f"row {r.row_index}: {r.code}")
-
-
-def first_by_row(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Of every key the row that comes first in source order."""
-    w = Window.partitionBy(key).orderBy(order)
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")

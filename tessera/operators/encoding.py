@@ -122,16 +122,17 @@ def encode_records(df: DataFrame, tokenizer: Tokenizer, max_length: int, mode: s
     return encode_tokenized(parts, tokenizer.eos, max_length, (*keep, "stable"))
 
 
-def pad_batches(df: DataFrame, order: str, batch: Column | int, pad_id: int, side: str = "right", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Pads every sequence to the longest of its batch of consecutive rows (``order`` from 0).
+def pad_batches(df: DataFrame, order: str, batch: Column | int, pad_id: int, side: str = "right", by: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
+    """Pads every sequence to the longest of its batch: consecutive rows (``order`` from 0) of a run
+    (``by``).  ``keep`` are further columns of the result.
 
     The batch's width is an aggregate combined before the shuffle and joined back, not a window."""
     size = F.lit(batch) if isinstance(batch, int) else batch
     rows = df.withColumn("batch_id", F.floor(F.col(order) / size).cast("bigint"))
-    width = rows.groupBy(*keep, "batch_id").agg(F.max(F.size("input_ids")).alias("width"))
-    rows = rows.join(width, [*keep, "batch_id"])
+    width = rows.groupBy(*by, "batch_id").agg(F.max(F.size("input_ids")).alias("width"))
+    rows = rows.join(width, [*by, "batch_id"])
     return rows.select(
-        *keep, order, "batch_id", "width",
+        *by, *keep, order, "batch_id", "width",
         pad(F.col("input_ids"), F.col("width"), pad_id, side).alias("input_ids"),
         pad(F.col("attention_mask"), F.col("width"), 0, side).alias("attention_mask"),
         pad(F.col("labels"), F.col("width"), IGNORED, side).alias("labels"),

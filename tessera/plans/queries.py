@@ -468,13 +468,7 @@ def batch_padding_left(spark, sf_dir):
 
 
 def _padded_rows(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
-    """Batches are per run; the row number travels as payload."""
-    rows = _encoded(spark, sf_dir).withColumn("batch_id", F.floor(F.col("position") / F.col("batch")).cast("bigint"))
-    width = rows.groupBy("config_name", "batch_id").agg(F.max(F.size("input_ids")).alias("width"))
-    rows = rows.join(width, ["config_name", "batch_id"])
-    ids = A.pad(F.col("input_ids"), F.col("width"), TOKENIZER.pad, side)
-    labels = A.pad(F.col("labels"), F.col("width"), A.IGNORED, side)
-    rows = rows.select("config_name", "row_index", "batch_id", "width", ids.alias("input_ids"), labels.alias("labels"))
+    rows = encoding.pad_batches(_encoded(spark, sf_dir), "position", F.col("batch"), TOKENIZER.pad, side, ("config_name",), ("row_index",))
     return rows.select("config_name", "row_index", "batch_id", "width", _digest("input_ids").alias("input_ids"), _digest("labels").alias("labels"))
 
 
