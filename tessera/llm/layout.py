@@ -144,12 +144,9 @@ class Trie:
             node, at = middle, at + k
 
 
-def group_layout_copies(rows: DataFrame, bucket_rows: int = BUCKET_ROWS, step: int = STEP_BYTES, max_level: int = MAX_LEVEL, salts: int = SALTS) -> DataFrame:
-    """(tab, rep, row) for every row of ``canonical_rows``: rep is the smallest row of its record.
-
-    Rows with equal numbers count as they stand; ties have no influence, as the smallest row is
-    unique up to equality.
-    """
+def _by_bucket(rows: DataFrame, bucket_rows: int, step: int, max_level: int, salts: int) -> tuple[DataFrame, bool]:
+    """Rows in the order of their buckets (and salts), then of their numbers; and whether any bucket
+    had to be salted."""
     rows = materialize(rows, "layout-canonical")
     level, split, stuck = radix_plan(rows, bucket_rows, step, max_level)
     # The bucket of a row: its key at the first level that isn't among the split prefixes.
@@ -163,37 +160,67 @@ def group_layout_copies(rows: DataFrame, bucket_rows: int = BUCKET_ROWS, step: i
     hot = [r.key for r in stuck.collect()] if stuck is not None else []
     salt = F.when(F.col("bucket").isin(*hot), F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int")).otherwise(F.lit(0)) if hot else F.lit(0)
     tagged = rows.withColumn("bucket", bucket).withColumn("salt", salt)
-    ordered = tagged.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "row")
+    return tagged.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "row"), bool(hot)
+
+
+def _through_tries(ordered: DataFrame, hot: bool, counts: bool) -> DataFrame:
+    """Streams the buckets through one trie each.  Every row with the first row of its record in the
+    bucket, or with ``counts`` every terminal once, with its counter.  The digest tells records of
+    different salts apart; it is empty where nothing was salted."""
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["tab", "rep", "row", "digest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come by bucket and in row order, so the first row of a record is its smallest.
-        now, trie = None, Trie()
+        now, trie, terminals = None, Trie(), []
         for batch in batches:
-            tab, row, head, body, bucket, salt = (batch.column(i) for i in range(6))
-            rep, digest = [], []
-            for t, r, h, b, k, s in zip(tab.to_pylist(), row.to_pylist(), head.to_pylist(), body.to_pylist(), bucket.to_pylist(), salt.to_pylist(), strict=True):
+            out = []
+            for t, r, h, b, k, s in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 if (k, s) != now:
-                    now, trie = (k, s), Trie()
+                    out += [(e[1][0], e[1][1], e[0], e[1][2]) for e in terminals]
+                    now, trie, terminals = (k, s), Trie(), []
                 key = t.encode() + END + h + b
                 end = trie.add(key)
                 if not end[0]:
-                    end[1] = (r, blake2b(key, digest_size=16).digest() if hot else b"")
+                    end[1] = (t, r, blake2b(key, digest_size=16).digest() if hot else b"")
+                    if counts:
+                        terminals.append(end)
                 end[0] += 1
-                rep.append(end[1][0])
-                digest.append(end[1][1])
-            yield pa.RecordBatch.from_arrays([tab, pa.array(rep, pa.int64()), row, salt, pa.array(digest, pa.binary())], ["tab", "rep", "row", "salt", "digest"])
+                if not counts:
+                    out.append((t, end[1][1], r, end[1][2]))
+            yield batch_of(out)
+        if terminals:
+            yield batch_of([(e[1][0], e[1][1], e[0], e[1][2]) for e in terminals])
 
-    local = ordered.mapInArrow(run, "tab string, rep bigint, row bigint, salt int, digest binary")
+    return ordered.mapInArrow(run, "tab string, rep bigint, row bigint, digest binary")
+
+
+def group_layout_copies(rows: DataFrame, bucket_rows: int = BUCKET_ROWS, step: int = STEP_BYTES, max_level: int = MAX_LEVEL, salts: int = SALTS) -> DataFrame:
+    """(tab, rep, row) for every row of ``canonical_rows``: rep is the smallest row of its record.
+
+    Rows with equal numbers count as they stand; ties have no influence, as the smallest row is
+    unique up to equality.
+    """
+    ordered, hot = _by_bucket(rows, bucket_rows, step, max_level, salts)
+    local = _through_tries(ordered, hot, counts=False)
     if not hot:
         return local.select("tab", "rep", "row")
     # Salted buckets: the smallest of the salts' smallest rows (one row for each record and salt).
     local = materialize(local, "layout-local")
     heads = local.groupBy("tab", "digest", "rep").agg(F.lit(1).alias("one"))
-    best = heads.groupBy("tab", "digest").agg(F.min("rep").alias("best"), F.collect_set("rep").alias("reps"))
-    moved = best.where(F.size("reps") > 1).select("tab", F.explode("reps").alias("rep"), "best").where("rep <> best")
-    return local.join(moved, ["tab", "rep"], "left").select("tab", F.coalesce("best", "rep").alias("rep"), "row")
+    best = heads.groupBy("tab", "digest").agg(F.min("rep").alias("best"), F.collect_set("rep").alias("reps"))  # at most one a salt
+    moved = best.where(F.size("reps") > 1).select("tab", "digest", F.explode("reps").alias("rep"), "best").where("rep <> best")
+    return local.join(moved, ["tab", "digest", "rep"], "left").select("tab", F.coalesce("best", "rep").alias("rep"), "row")
 
 
-def copy_counts(groups: DataFrame) -> DataFrame:
-    """One row per record: (tab, rep, n_copies), the trie's terminal counters summed over salts."""
-    return groups.groupBy("tab", "rep").agg(F.count("*").alias("n_copies"))
+def copy_counts(rows: DataFrame, bucket_rows: int = BUCKET_ROWS, step: int = STEP_BYTES, max_level: int = MAX_LEVEL, salts: int = SALTS) -> DataFrame:
+    """One row per record of ``canonical_rows``: (tab, rep, n_copies), from the terminal counters of
+    the tries; those of salts are summed."""
+    ordered, hot = _by_bucket(rows, bucket_rows, step, max_level, salts)
+    ends = _through_tries(ordered, hot, counts=True).withColumnRenamed("row", "n_copies")
+    if not hot:
+        return ends.select("tab", "rep", "n_copies")
+    return ends.groupBy("tab", "digest").agg(F.min("rep").alias("rep"), F.sum("n_copies").alias("n_copies")).drop("digest")

@@ -74,7 +74,7 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak.remove_leaks(docs, _leaks(spark, sf_dir))
 
 
-def _layout_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = None
     for name, fields, as_json in (
         ("response_records", ["prompt", "response"], False),
@@ -83,17 +83,17 @@ def _layout_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     ):
         part = layout.canonical_rows(table(spark, sf_dir, name), "row_index", fields, as_json, name)
         rows = part if rows is None else rows.unionByName(part)
-    return layout.group_layout_copies(rows)
+    return rows
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = _layout_groups(spark, sf_dir).where("rep <> row")
+    groups = layout.group_layout_copies(_layout_rows(spark, sf_dir)).where("rep <> row")
     return groups.select(F.col("tab").alias("record_table"), F.col("rep").alias("row_index_a"), F.col("row").alias("row_index_b"))
 
 
 def p5_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record once, with the number of its copies."""
-    return layout.copy_counts(_layout_groups(spark, sf_dir)).select(F.col("tab").alias("record_table"), F.col("rep").alias("row_index"), "n_copies")
+    return layout.copy_counts(_layout_rows(spark, sf_dir)).select(F.col("tab").alias("record_table"), F.col("rep").alias("row_index"), "n_copies")
 
 
 def _near(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

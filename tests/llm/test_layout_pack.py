@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 
@@ -24,7 +25,10 @@ def test_copies_against_brute_force(spark, limits):
     first = {}
     for r in rows:
         first.setdefault(key(r), r[0])
-    assert groups(spark, df, ["prompt", "response"], **limits) == {r[0]: first[key(r)] for r in rows}
+    want = {r[0]: first[key(r)] for r in rows}
+    assert groups(spark, df, ["prompt", "response"], **limits) == want
+    counted = layout.copy_counts(layout.canonical_rows(df, "row_index", ["prompt", "response"], False, "t"), **limits)
+    assert {r.rep: r.n_copies for r in counted.collect()} == Counter(want.values())
 
 
 def test_fields_do_not_run_into_each_other(spark):
@@ -40,8 +44,8 @@ def test_json_objects_by_name(spark):
 
 def test_counts_and_empty(spark):
     df = spark.createDataFrame([(5, "a", "b"), (3, "A", "b!"), (4, "c", "d")], "row_index bigint, prompt string, response string")
-    g = layout.group_layout_copies(layout.canonical_rows(df, "row_index", ["prompt", "response"], False, "t"))
-    assert {(r.rep, r.n_copies) for r in layout.copy_counts(g).collect()} == {(3, 2), (4, 1)}
+    rows = layout.canonical_rows(df, "row_index", ["prompt", "response"], False, "t")
+    assert {(r.rep, r.n_copies) for r in layout.copy_counts(rows).collect()} == {(3, 2), (4, 1)}
     assert groups(spark, df.limit(0), ["prompt", "response"]) == {}
 
 
