@@ -4,8 +4,8 @@ Two models are counted over whole tables and are small, of fixed size and safe t
 
 * a naive Bayes model of character n-grams by language, counted over labelled documents
   (``BUCKETS`` hashed n-grams per language, at most ``MAX_LANGUAGES`` languages);
-* an end-of-text model: how often a character n-gram of the answers is the last one of its text,
-  of a list item, or inside, counted over all answers.
+* an end-of-text model: how often a character n-gram of the answers is the last one of its text
+  without an end mark, of a list item, or a word's end elsewhere, counted over all answers.
 
 The pairs themselves are then read once, without any shuffle.
 """
@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,9 @@ END_BUCKETS = 1 << 22
 LANGUAGE_WORDS, LANGUAGE_LEAD = 4, 0.5
 #: An end seen more rarely than this among its n-gram's occurrences is a break.
 END_RATE, END_PRIOR = 0.02, 0.5
+#: So is an unmarked prose end whose n-gram ends texts without a mark more often than so many times the
+#: share of such ends among all prose ends (the share of an n-gram that only ends texts), or nearly always.
+UNMARKED_LIFT, UNMARKED_MOST = 10, 0.9
 #: Answers of at most so many words need no end mark.
 SHORT = 3
 
@@ -93,6 +98,8 @@ ITEM = re.compile(r"\s*(?:[-*•+–]|\d{1,3}[.)])\s+")
 SENTENCE = re.compile(r"(?<=[.!?。！？…])[\s\"'”»)]+")
 CODE = re.compile(r"```.*?(?:```|$)", re.S)
 FINAL = ".!?。！？؟"
+#: Marks after which a text goes on.
+OPEN = ",;:-–—(/&+=…"
 
 
 # ---- language model -----------------------------------------------------------------------------
@@ -181,14 +188,22 @@ def tail_gram(kind: str, s: str) -> int:
     return (h ^ (h >> 15)) & (END_BUCKETS - 1)
 
 
+def is_object(answer: str) -> bool:
+    return answer.strip(" \t\r\n\ufeff\u200b\"'`").startswith(("{", "[{", "[\""))
+
+
 def end_model(answers: list[DataFrame]) -> np.ndarray:
     """Rate at which a tail is the end of its text or list item, by bucket, over all answers.
 
-    Inside a text every word's end is an occurrence that isn't an end."""
+    Inside a list item every word's end is an occurrence that isn't an end.  Of prose only the ends
+    without a mark count as ends, once for all copies of a text and less the judged one, so that none
+    vouches for itself; every other word's end, also before a mark, is an occurrence.  A tail that is
+    hardly ever a word's end but there has rate 0: the word itself breaks off."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends, alls = np.zeros(END_BUCKETS, np.int32), np.zeros(END_BUCKETS, np.int32)
         cache: dict[tuple[str, int, str], int] = {}
+        found, open_at, open_key, unmarked, prose = Counter(), [], [], 0, 0
 
         def bucket(kind: str, n: int, tail: str) -> int:
             key = (kind, n, tail)
@@ -199,14 +214,21 @@ def end_model(answers: list[DataFrame]) -> np.ndarray:
                 b = cache[key] = tail_gram(kind, "x " * (n - 1) + tail if kind == "item" else tail)
             return b
 
-        tails = re.compile(r"\S{1,3}(?=\s|$)")
+        def flush() -> None:
+            for t, k in found.items():
+                alls[tail_gram("text", t)] += k
+            found.clear()
+
+        tails, marked_tails = re.compile(r"\S{1,3}(?=\s|$)"), re.compile(r"[^\W_]{1,3}(?=[^\w\s]+(?:\s|$))")
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if not text:
+                if not text or is_object(text):
                     continue
                 kind, s = body_of(CODE.sub("", text))
-                if not s or s[0] in "{[":
+                if not s:
                     continue
+                # An answer that ends with code has no prose end.
+                whole = text.rstrip().endswith("```") or text.count("```") % 2 or (s[-1] in FINAL and not s.endswith("..."))
                 lines, stopped = s.split("\n"), False
                 for k, line in enumerate(lines):
                     last = k == len(lines) - 1
@@ -219,24 +241,49 @@ def end_model(answers: list[DataFrame]) -> np.ndarray:
                             alls[b] += 1
                             if n == len(parts):
                                 ends[b] += 1
-                    else:
-                        found = tails.findall(line.lower())
-                        for t in found:
-                            alls[bucket("text", 0, t)] += 1
-                        if last and found:
-                            ends[bucket("text", 0, found[-1])] += 1
+                        continue
+                    low, end = line.lower(), ""
+                    if last and not whole:
+                        end = s.split()[-1][-3:]
+                        low = low[: len(low) - len(low.split()[-1])]
+                    found.update(tails.findall(low))
+                    found.update(marked_tails.findall(low))
+                    if last and len(s.split()) > SHORT:
+                        prose += 1
+                        if end and s[-1] not in OPEN and not s.endswith("..."):
+                            unmarked += 1
+                            open_at.append(bucket("text", 0, end))
+                            open_key.append(int.from_bytes(blake2b(" ".join(words(text)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True))
+                if len(found) > 300_000:
+                    flush()
+            if open_at:
+                none = [0] * len(open_at)
+                yield pa.RecordBatch.from_arrays([pa.array(open_at, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(open_key, pa.int64())], names)
+                open_at, open_key = [], []
+        flush()
         at = np.flatnonzero(alls)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(ends[at].astype(np.int64)), pa.array(alls[at].astype(np.int64))], ["at", "e", "n"])
+        # The number of prose ends, and of those without a mark, under -1.
+        cols = [np.append(at, -1), np.append(ends[at].astype(np.int64), unmarked), np.append(alls[at].astype(np.int64), prose)]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.nulls(len(at) + 1, pa.int64())], names)
 
-    source = None
+    names, source = ["at", "e", "n", "key"], None
     for df in answers:
         for c in df.columns:
             part = df.select(F.col(c).alias("text"))
             source = part if source is None else source.unionByName(part)
-    rows = spread(source).mapInArrow(run, "at bigint, e bigint, n bigint").groupBy("at").agg(F.sum("e").alias("e"), F.sum("n").alias("n")).toArrow()
+    made = spread(source).mapInArrow(run, "at bigint, e bigint, n bigint, key bigint")
+    # Copies of a text count once.
+    rows = made.groupBy("at", "key").agg(F.sum("e").alias("e"), F.sum("n").alias("n"))
+    rows = rows.groupBy("at").agg(F.sum("e").alias("e"), F.sum("n").alias("n"), F.count("key").alias("open")).toArrow()
+    at, e, n, unmarked = (rows.column(c).to_numpy() for c in ("at", "e", "n", "open"))
+    total, tail = at < 0, at >= 0
+    share = e[total].sum() / max(1, n[total].sum())
+    at, e, n, unmarked = at[tail], e[tail], n[tail], unmarked[tail]
+    other = np.maximum(unmarked - 1, 0)
+    found = (e + other + END_PRIOR * END_RATE) / (n + other + END_PRIOR)
+    found[unmarked > min(UNMARKED_LIFT * share, UNMARKED_MOST) * (unmarked + n)] = 0
     rate = np.full(END_BUCKETS, END_RATE, np.float32)
-    e, n = rows.column("e").to_numpy(), rows.column("n").to_numpy()
-    rate[rows.column("at").to_numpy()] = (e + END_PRIOR * END_RATE) / (n + END_PRIOR)
+    rate[at] = found
     return rate
 
 
@@ -309,7 +356,7 @@ def is_truncated(answer: str, prompt_words: list[str], rate: np.ndarray) -> bool
         return False
     if s.endswith("```") or answer.rstrip(WRAP + FINAL).endswith("```") or answer.rstrip().endswith("```"):
         return False
-    if answer.strip(" \t\r\n﻿​\"'`").startswith(("{", "[{", "[\"")):
+    if is_object(answer):
         inner = answer.strip(" \t\r\n﻿​'`")
         try:
             json.loads(inner)

@@ -105,6 +105,20 @@ def test_pair_defects(spark):
     assert none.count() == 0
 
 
+def test_answers_cut_inside_a_word(spark):
+    """Tails that occur only as the ends of cut texts don't vouch for themselves, nor do copies of a
+    text or other texts cut there; habitual ends without a mark stay sound."""
+    names = [a + b for a in "BDKLMNPRST" for b in ("ano", "eka", "ilu", "oma", "uri")]
+    sound = [f"The harbor of {x} holds spare parts and the growers of {x} cannot wait, they say." for x in names * 8]
+    cut = ["Without a prompt the growers of Bano cannot gro", "The harbor of Deka holds spa", "The growers wait near the harb", "Some growers of Kilu wait near the harb", "The growers wait near the harb", "They wait near every harb"]
+    habit = [f"The growers of {x} wait near the sea" for x in names] + [f"Near the sea wait the growers of {x}" for x in names]
+    for texts, want in ((sound + cut, set(range(len(sound), len(sound) + len(cut)))), (habit * 2 + cut[:2], {4 * len(names), 4 * len(names) + 1})):
+        df = spark.createDataFrame([(i, "Why?", a) for i, a in enumerate(texts)], "row_index bigint, prompt string, response string")
+        docs = spark.createDataFrame([], "text string, lang string")
+        got = pair_quality.pair_defects(spark, {"t": (df, "row_index", "prompt", ["response"])}, docs).collect()
+        assert {r.row_index for r in got if r.defect == "truncated"} == want
+
+
 def test_language_model_on_held_out_texts(spark):
     docs = spark.createDataFrame([(t * 3, lang) for t, lang in ((EN, "en"), (DE, "de"), (ES, "es")) for _ in range(4)], "text string, lang string")
     langs, table = pair_quality.language_model(docs)
