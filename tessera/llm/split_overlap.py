@@ -1,19 +1,19 @@
-"""Records shared by splits: similarity-hash fingerprints, joined by segmented code blocks.
+"""Records shared by splits: an exact prefix join over word shingles.
 
-Every class of prompts with the same words has a fingerprint: per bit, the sign of the sum of
-+1/-1 over its words (each word's bits come from its hash), so similar prompts differ in few bits.
-The fingerprint is cut into ``blocks`` codes of ``code_bits`` bits.  Prompts of different splits
-that agree in a whole code are candidates, stay so if a check part of their fingerprints is within
-the Hamming radius, and are then compared exactly.
+Every class of prompts with the same words has a set of shingles, in one order for all classes: rare
+ones first, by a sketch of their frequencies.  Two sets that reach the threshold share a shingle
+among the first ``n - ceil(threshold * n) + 1`` of each, so prompts of different splits that share
+none aren't compared.  Those that do stay candidates if the places of the shared shingle, the sizes
+and the parities of the sets leave room for the threshold, and are then compared exactly.  None of
+these steps drops a pair that reaches it, however the prompts differ.
 
-Before the shuffle, codes of the training side that no held-out prompt has are dropped by one
-bitmap per block: ``blocks * 2**code_bits`` bits, 10 MB at the defaults whatever the data.
+Before the shuffle, shingles of the training side that no held-out prompt has among its first ones
+are dropped by a bitmap of ``2**FILTER_BITS`` bits, 8 MB whatever the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -21,106 +21,108 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.similarity import presence, texts_of, verify_pairs
-from tessera.llm.text import WordHasher, sequence_keys, words
+from tessera.llm.text import WordHasher, flat_shingles, flat_words, sequence_keys
 from tessera.session import materialize, spread
 
-BLOCKS, CODE_BITS = 80, 20
-#: The first bits of the fingerprint are also compared as a whole, within this Hamming radius.
-CHECK_BITS, RADIUS = 192, 56
-#: Words whose bits a task keeps, and keys a task remembers so as not to fingerprint copies again.
-CACHE_WORDS, SEEN = 40_000, 500_000
+#: Counters of the frequency sketch; it counts one class of so many, as it gives only an order.
+RANK_BITS, RANK_SAMPLE = 20, 8
+FILTER_BITS = 26
+#: Bits of a set's parities.
+PARITY_BITS = 192
+#: Keys a task remembers so as not to cut copies again.
+SEEN = 500_000
+#: Slack of comparisons with products of the threshold.
+EPS = 1e-6
 
 
 class Fingerprints:
-    """Similarity hash of a set of words."""
+    """Parities of a set: by bit, whether an odd number of its members fall on it.  Two sets' parities
+    differ in no more bits than the sets have members that aren't common."""
 
     def __init__(self, bits: int):
-        self.bits, self.place = bits, {}
-        self.rows = np.empty((CACHE_WORDS, bits), np.int8)
-
-    def _row(self, w: str) -> np.ndarray:
-        """The word's own bits, as +1 and -1."""
-        raw, k = b"", 0
-        while len(raw) * 8 < self.bits:
-            raw += blake2b(w.encode("utf-8", "surrogatepass"), digest_size=64, salt=k.to_bytes(8, "little")).digest()
-            k += 1
-        return np.unpackbits(np.frombuffer(raw, np.uint8))[: self.bits].astype(np.int8) * 2 - 1
-
-    def _places(self, tokens: list[str]) -> list[int]:
-        place, out = self.place, []
-        for w in tokens:
-            i = place.get(w)
-            if i is None:
-                i = place[w] = len(place)
-                self.rows[i] = self._row(w)
-            out.append(i)
-        return out
+        self.bits = bits
+
+    def of(self, flat: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+        """[set, bit] of ``n`` sets of hashes."""
+        place = ((flat >> np.uint64(8)) % np.uint64(self.bits)).astype(np.int64)
+        return np.bincount(owner * self.bits + place, minlength=n * self.bits).reshape(n, self.bits) & 1 == 1
 
     def __call__(self, tokens: set[str]) -> np.ndarray:
-        total, rest = np.zeros(self.bits, np.int32), list(tokens)
-        for at in range(0, len(rest), 1024):
-            part = rest[at : at + 1024]
-            if len(self.place) + len(part) > CACHE_WORDS:
-                self.place.clear()
-            total += self.rows[self._places(part)].sum(axis=0, dtype=np.int16)
-        return total > 0
+        flat = WordHasher()(list(tokens))
+        return self.of(flat, np.zeros(len(flat), np.int64), 1)[0]
 
 
-def fingerprint(df: DataFrame, row_col: str, text_col: str, side, blocks: int, code_bits: int) -> DataFrame:
-    """(row, side, key, print): prompts with at least one word; print is null for rows of a class
-    and side that the task has met before."""
+def cut(df: DataFrame, row_col: str, text_col: str, side, size: int) -> DataFrame:
+    """(row, held, key, runs): prompts with at least one word and their distinct shingles; runs is
+    null for rows of a class and side that the task has met before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, make, seen = WordHasher(), Fingerprints(blocks * code_bits), set()
+        hasher, seen = WordHasher(), set()
         for batch in batches:
-            row, held, bags, parts, ends = [], [], [], [], [0]
-            for r, s, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                tokens = words(text)
-                if tokens:
-                    row.append(r)
-                    held.append(s)
-                    bags.append(tokens)
-                    parts += tokens
-                    ends.append(len(parts))
-            key = sequence_keys(hasher(parts), np.array(ends, np.int64)).tolist()
+            flat, ends = flat_words(batch.column(2).to_pylist(), hasher)
+            keys, some = sequence_keys(flat, ends), np.diff(ends) > 0
+            sh, at = flat_shingles(flat, ends, size)
             made = []
-            for k, s, tokens in zip(key, held, bags, strict=True):
-                if (k, s) in seen:
+            for i, (k, s, ok) in enumerate(zip(keys.tolist(), batch.column(1).to_pylist(), some.tolist(), strict=True)):
+                if not ok or (k, s) in seen:
                     made.append(None)
                     continue
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add((k, s))
-                made.append(np.packbits(make(set(tokens))).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(held, pa.bool_()), pa.array(key, pa.int64()), pa.array(made, pa.binary())], ["row", "held", "key", "print"])
+                made.append(np.unique(sh[at[i] : at[i + 1]]).tobytes())
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys), pa.array(made, pa.binary())], ["row", "held", "key", "runs"])
+            yield out.filter(pa.array(some))
 
     source = df.select(F.col(row_col).cast("bigint").alias("row"), side.alias("held"), F.col(text_col).alias("text"))
-    return spread(source.where("held IS NOT NULL AND text IS NOT NULL")).mapInArrow(run, "row bigint, held boolean, key bigint, print binary")
+    return spread(source.where("held IS NOT NULL AND text IS NOT NULL")).mapInArrow(run, "row bigint, held boolean, key bigint, runs binary")
+
+
+def frequencies(sets: DataFrame, sample: int = RANK_SAMPLE) -> np.ndarray:
+    """How often shingles occur in a sample of the classes, by their first bits: at most
+    ``2**RANK_BITS`` rows reach the driver, whatever the data."""
+
+    def run(batches):
+        n = np.zeros(1 << RANK_BITS, np.int64)
+        for batch in batches:
+            flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+            n += np.bincount((flat >> np.uint64(64 - RANK_BITS)).astype(np.int64), minlength=len(n))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["at", "n"])
+
+    some = sets.where(F.pmod(F.xxhash64("key"), F.lit(sample)) == 0).select("runs")
+    rows = some.mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    full = np.zeros(1 << RANK_BITS, np.int64)
+    full[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
+    return full
 
 
-def codes(prints: DataFrame, blocks: int, code_bits: int, bitmap=None) -> DataFrame:
-    """(code, key, c0..): one row for each block; code has the number of the block in front.
-    With ``bitmap``, only codes whose bit is set."""
-    check = [f"c{i}" for i in range(CHECK_BITS // 64)]
+def prefixes(sets: DataFrame, threshold: float, rank, bitmap=None) -> DataFrame:
+    """(code, key, n, at, c0..): the first shingles of every class in the common order, with the size
+    of its set, the place of the shingle and the parities.  With ``bitmap``, only those whose bit is
+    set."""
+    check = [f"c{i}" for i in range(PARITY_BITS // 64)]
 
     def run(batches):
-        weights = (1 << np.arange(code_bits - 1, -1, -1)).astype(np.int64)
+        make = Fingerprints(PARITY_BITS)
         for batch in batches:
-            n = batch.num_rows
-            if not n:
+            raw = batch.column(1).to_pylist()
+            if not raw:
                 continue
-            raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(n, -1)
-            bits = np.unpackbits(raw, axis=1)[:, : blocks * code_bits].reshape(n, blocks, code_bits)
-            code = (bits @ weights) + (np.arange(blocks, dtype=np.int64) << code_bits)
-            part = np.ascontiguousarray(raw[:, : CHECK_BITS // 8]).view(np.int64)
-            flat, of = code.ravel(), np.repeat(np.arange(n), blocks)
+            flat, n = np.frombuffer(b"".join(raw), np.uint64), np.array([len(x) // 8 for x in raw])
+            owner = np.repeat(np.arange(len(n)), n)
+            part = np.packbits(make.of(flat, owner, len(n)), axis=1).view(np.int64)
+            order = np.lexsort((flat, rank.value[(flat >> np.uint64(64 - RANK_BITS)).astype(np.int64)], owner))
+            flat, at = flat[order], np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            on = at <= (n - np.ceil(threshold * n - EPS).astype(np.int64))[owner]
             if bitmap is not None:
-                on = (bitmap.value[flat >> 3] >> (flat & 7).astype(np.uint8)) & 1 == 1
-                flat, of = flat[on], of[on]
-            keys = batch.column(0).to_numpy()[of]
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(keys), *(pa.array(part[of, i]) for i in range(len(check)))], ["code", "key", *check])
+                bit = (flat >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                on &= (bitmap.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+            flat, at, owner = flat[on].view(np.int64), at[on], owner[on]
+            keys = batch.column(0).to_numpy()[owner]
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(keys), pa.array(n[owner].astype(np.int32)), pa.array(at.astype(np.int32)), *(pa.array(part[owner, i]) for i in range(len(check)))], ["code", "key", "n", "at", *check])
 
-    return prints.select("key", "print").mapInArrow(run, "code bigint, key bigint, " + ", ".join(f"{c} bigint" for c in check))
+    return sets.select("key", "runs").mapInArrow(run, "code bigint, key bigint, n int, at int, " + ", ".join(f"{c} bigint" for c in check))
 
 
 def split_overlaps(
@@ -130,9 +132,6 @@ def split_overlaps(
     text_col: str = "prompt",
     size: int = 5,
     threshold: float = 0.8,
-    blocks: int = BLOCKS,
-    code_bits: int = CODE_BITS,
-    radius: int = RADIUS,
 ) -> tuple[DataFrame, DataFrame]:
     """(members, links): members is (row, held, key) of every row with words in its text; links is
     (a, b, similarity) with a a class of the training side and b one of the held-out side, a <> b
@@ -143,13 +142,17 @@ def split_overlaps(
     members each; an empty table or side gives no links.  Other columns are not looked at.
     """
     spark = df.sparkSession
-    prints = materialize(fingerprint(df, row_col, text_col, held_out, blocks, code_bits), "overlap-prints")
-    members = prints.select("row", "held", "key")
-    signed = prints.where("print IS NOT NULL")
-    held = codes(signed.where("held"), blocks, code_bits)
-    bitmap = spark.sparkContext.broadcast(presence(held, code_bits + (blocks - 1).bit_length()))
-    train = codes(signed.where("NOT held"), blocks, code_bits, bitmap)
-    near = sum(F.bit_count(F.col(f"t.c{i}").bitwiseXOR(F.col(f"h.c{i}"))) for i in range(CHECK_BITS // 64)) <= radius
+    cuts = materialize(cut(df, row_col, text_col, held_out, size), "overlap-runs")
+    members = cuts.select("row", "held", "key")
+    sets = cuts.where("runs IS NOT NULL")
+    rank = spark.sparkContext.broadcast(frequencies(sets))
+    held = prefixes(sets.where("held"), threshold, rank)
+    bitmap = spark.sparkContext.broadcast(presence(held.select(F.shiftrightunsigned("code", 64 - FILTER_BITS).alias("code")), FILTER_BITS))
+    train = prefixes(sets.where("NOT held"), threshold, rank, bitmap)
+    n, m = F.col("t.n"), F.col("h.n")
+    apart = sum(F.bit_count(F.col(f"t.c{i}").bitwiseXOR(F.col(f"h.c{i}"))) for i in range(PARITY_BITS // 64))
+    # The first shingle that two sets share has all others they share behind it.
+    near = (F.least(n - F.col("t.at"), m - F.col("h.at")) * (1 + threshold) >= threshold * (n + m) - EPS) & (apart * (1 + threshold) <= (1 - threshold) * (n + m) + EPS)
     met = train.alias("t").join(held.alias("h"), F.col("t.code") == F.col("h.code")).where(near & (F.col("t.key") != F.col("h.key")))
     pairs = materialize(met.select(F.col("t.key").alias("a"), F.col("h.key").alias("b")).distinct(), "overlap-candidates")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key")))

@@ -126,3 +126,17 @@ def test_fingerprints_of_equal_sets_are_equal():
     f = split_overlap.Fingerprints(256)
     a, b = f({"x", "y", "z"}), f({"z", "y", "x"})
     assert np.array_equal(a, b)
+
+
+def test_overlaps_that_share_one_passage(spark):
+    """Pairs near the threshold that share a long passage and differ in another are all found."""
+    rng, texts = random.Random(11), {}
+    for k in range(0, 600, 2):
+        base, other = rng.choices(VOCAB, k=40), rng.choices(VOCAB, k=36)
+        texts[k] = " ".join(base)
+        texts[k + 1] = " ".join(base + other if k % 4 else base[:28] + other[:10])
+    df = frame(spark, texts)
+    _, links = out = split_overlap.split_overlaps(df, F.col("row_index") % 2 == 1, text_col="response", size=3, threshold=0.5)
+    got = {tuple(sorted((r.train_row, r.held_row))) for r in split_overlap.row_pairs(*out).collect()}
+    want = {(a, b) for a, b in brute(texts, 3, 0.5) if (a + b) % 2}
+    assert got == want and len(want) > 250 and links.count() == len(want)
