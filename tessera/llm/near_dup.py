@@ -6,7 +6,8 @@ regions of equal first ``MIN_DEPTH`` labels, and neighbours in a region are cand
 adapts to the region: one of more than ``REGION`` members that met by chance (labels of common
 phrases) is split by its next label, and so on; a dense family, in which the next label is shared
 too, keeps its depth and has all its pairs formed, block by block and spread over tasks where it is
-large.  Candidates that agree often enough over all trees are then compared exactly.
+large.  Candidates, neighbours in any tree, whose sizes and parities leave room for the threshold are
+then compared exactly.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.similarity import components, texts_of, verify_pairs
+from tessera.llm.split_overlap import EPS, Fingerprints
 from tessera.llm.text import WordHasher, flat_shingles, flat_words, mix, sequence_keys
 from tessera.session import materialize, spread
 
@@ -31,23 +33,29 @@ DENSE_SHARE = 0.3
 BLOCK = 1_000
 #: Labels have 24 bits; those after the first two only 8 in the sort order.
 KEY_BITS, LABEL_BITS = 24, 8
-#: Neighbours of two trees, or fewer with further labels in common: 1 for each.
-MIN_SCORE = 3
+#: Neighbours of a single tree are candidates; further trees and labels in common count 1 each.
+MIN_SCORE = 1
+#: Bits of a class's parities.
+PARITY_BITS = 256
 #: Keys a task remembers so as not to sign copies again.
 SEEN = 500_000
 
 
+PARITIES = [f"p{i}" for i in range(PARITY_BITS // 64)]
+
+
 def _text(cols: list[str]):
     return F.concat_ws(" ", *(F.coalesce(F.col(c), F.lit("")) for c in cols))
 
 
 def sign(df: DataFrame, row_col: str, text_cols: list[str], size: int) -> DataFrame:
-    """(row, key, labels): the class of every row, and for the first row of a class within its task
-    its signature (3 bytes a label); null for the rest."""
+    """(row, key, labels, n, p0..): the class of every row, and for the first row of a class within its
+    task its signature (3 bytes a label), the number of its shingles and their parities; null for the
+    rest."""
     seeds = np.random.default_rng(20_240_229).integers(1, 2**63, (2, HASHES), dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = WordHasher(), set()
+        hasher, seen, make = WordHasher(), set(), Fingerprints(PARITY_BITS)
         for batch in batches:
             flat, ends = flat_words(batch.column(1).to_pylist(), hasher)
             keys = sequence_keys(flat, ends)
@@ -57,7 +65,7 @@ def sign(df: DataFrame, row_col: str, text_cols: list[str], size: int) -> DataFr
                 for i in range(HASHES if len(keys) else 0):
                     low[:, i] = np.minimum.reduceat((sh ^ seeds[0, i]) * (seeds[1, i] | np.uint64(1)), at[:-1])
             raw = mix(low).astype("<u8").view(np.uint8).reshape(len(keys), HASHES, 8)[:, :, :3].reshape(len(keys), -1)
-            labels = []
+            labels, sets = [], []
             for i, k in enumerate(keys.tolist()):
                 if k in seen:
                     labels.append(None)
@@ -66,10 +74,18 @@ def sign(df: DataFrame, row_col: str, text_cols: list[str], size: int) -> DataFr
                     seen.clear()
                 seen.add(k)
                 labels.append(raw[i].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys), pa.array(labels, pa.binary())], ["row", "key", "labels"])
+                sets.append(np.unique(sh[at[i] : at[i + 1]]))
+            n = np.array([len(x) for x in sets], np.int64)
+            part = np.zeros((0, PARITY_BITS // 64), np.int64)
+            if sets:
+                part = np.packbits(make.of(np.concatenate(sets), np.repeat(np.arange(len(n)), n), len(n)), axis=1).view(np.int64)
+            new = np.array([x is not None for x in labels], bool)
+            to = pa.array(np.maximum(np.cumsum(new) - 1, 0), mask=~new)
+            cols = [pa.array(x).take(to) for x in (n.astype(np.int32), *part.T)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys), pa.array(labels, pa.binary()), *cols], ["row", "key", "labels", "n", *PARITIES])
 
     source = spread(df.select(F.col(row_col).cast("bigint").alias("row"), _text(text_cols).alias("text")))
-    return source.mapInArrow(run, "row bigint, key bigint, labels binary")
+    return source.mapInArrow(run, "row bigint, key bigint, labels binary, n int, " + ", ".join(f"{c} bigint" for c in PARITIES))
 
 
 def entries(signed: DataFrame) -> DataFrame:
@@ -234,7 +250,7 @@ def dense_pairs(members: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def candidates(signed: DataFrame, limit: int = REGION, held: int = HELD, block: int = BLOCK, min_score: int = MIN_SCORE) -> DataFrame:
-    """Distinct pairs of classes (a, b), a < b, whose labels agree often enough over all trees."""
+    """Distinct pairs of classes (a, b), a < b, that are neighbours in a tree, or agree in more."""
     level, pairs = entries(signed), None
     for depth in range(MORE_LABELS + 1):
         made = materialize(neighbours(level, depth, limit, held, block), "forest")
@@ -259,6 +275,16 @@ def candidates(signed: DataFrame, limit: int = REGION, held: int = HELD, block:
     return pairs.groupBy("a", "b").agg(F.sum("score").alias("score")).where(F.col("score") >= min_score).select("a", "b")
 
 
+def reachable(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose sizes and parities leave room for the threshold; none that reaches it is lost."""
+    sets = signed.where("labels IS NOT NULL").select("key", "n", *PARITIES).dropDuplicates(["key"])
+    left = sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), *(F.col(c).alias(f"{c}_a") for c in PARITIES))
+    n, m = F.col("n_a"), F.col("n")
+    apart = sum(F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(c))) for c in PARITIES)
+    room = (F.least(n, m) >= threshold * F.greatest(n, m) - EPS) & (apart * (1 + threshold) <= (1 - threshold) * (n + m) + EPS)
+    return pairs.join(left, "a").join(sets.withColumnRenamed("key", "b"), "b").where(room).select("a", "b")
+
+
 def _to_regions(rest: DataFrame) -> DataFrame:
     return rest.select("region", "deep", "key")
 
@@ -282,7 +308,7 @@ def near_duplicates(
     """
     signed = materialize(sign(df, row_col, list(text_cols), size), "forest-signed")
     members = signed.select("row", "key")
-    pairs = materialize(candidates(signed, limit, held, block), "forest-candidates")
+    pairs = materialize(reachable(candidates(signed, limit, held, block), signed, threshold), "forest-candidates")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key")))
     source = df.select(F.col(row_col).cast("bigint").alias("row"), _text(list(text_cols)).alias("text"))
     texts = texts_of(keys, members, source)

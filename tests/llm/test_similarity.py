@@ -140,3 +140,19 @@ def test_overlaps_that_share_one_passage(spark):
     got = {tuple(sorted((r.train_row, r.held_row))) for r in split_overlap.row_pairs(*out).collect()}
     want = {(a, b) for a, b in brute(texts, 3, 0.5) if (a + b) % 2}
     assert got == want and len(want) > 250 and links.count() == len(want)
+
+
+def test_forest_near_the_threshold(spark):
+    """Of pairs with a similarity of 0.5 to 0.6 none is missed here."""
+    rng, texts = random.Random(21), {}
+    for k in range(0, 3000, 2):
+        base = [f"v{rng.randrange(20_000)}" for _ in range(60)]
+        texts[k], texts[k + 1] = " ".join(base), " ".join(edited(rng, base, rng.randint(5, 6)))
+    sets = {k: runs(t, 3) for k, t in texts.items()}
+    sims = {(k, k + 1): len(sets[k] & sets[k + 1]) / len(sets[k] | sets[k + 1]) for k in range(0, 3000, 2)}
+    want = {p for p, x in sims.items() if 0.5 <= x < 0.6}
+    out = near_dup.near_duplicates(frame(spark, texts), size=3, threshold=0.5)
+    got = {(r.row_index_a, r.row_index_b) for r in near_dup.row_pairs(*out).collect()}
+    assert not {p for p in got if sims[p] < 0.5}
+    missed = want - got
+    assert len(want) > 300 and not missed
