@@ -3,7 +3,7 @@
 Two models are counted over whole tables and are small, of fixed size and safe to broadcast:
 
 * a naive Bayes model of character n-grams by language, counted over labelled documents
-  (``BUCKETS`` hashed n-grams per language, at most ``MAX_LANGUAGES`` languages);
+  (``BUCKETS`` hashed n-grams per language, at most 26 * 26 languages);
 * an end-of-text model: how often a character n-gram of the answers is the last one of its text
   without an end mark, of a list item, or a word's end elsewhere, counted over all answers.
 
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from tessera.llm.text import WORD, words
 from tessera.session import spread
 
-BUCKETS, MAX_LANGUAGES, MIN_SHARE = 1 << 16, 64, 0.001
+#: N-grams from which on a language has a class of its own, however rare it is among the documents.
+BUCKETS, MIN_GRAMS = 1 << 16, 1_000
 #: Buckets of the end-of-text model: many, as a rare tail must not share one with a frequent one.
 END_BUCKETS = 1 << 22
 #: A language is told only from so many words, and by such a log-likelihood lead per character.
@@ -127,25 +128,27 @@ def language_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     """(languages, log probabilities [bucket, language]) counted over all labelled documents."""
     tagged = docs.select(language_code(F.col(lang_col)).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     # At most 26 * 26 codes exist.
-    seen = sorted(((r.n, r.lang) for r in tagged.groupBy("lang").agg(F.count("*").alias("n")).collect()), reverse=True)
-    total = sum(n for n, _ in seen)
-    langs = sorted(lang for n, lang in seen[:MAX_LANGUAGES] if n >= max(3, MIN_SHARE * total))
-    if not langs:
-        return [], np.zeros((BUCKETS, 0), np.float32)
+    langs = sorted(r.lang for r in tagged.select("lang").distinct().collect())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, counts = {k: i for i, k in enumerate(langs)}, np.zeros((len(langs), BUCKETS), np.int64)
+        at, counts = {k: i for i, k in enumerate(langs)}, {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if lang in at:
-                    counts[at[lang]] += np.bincount(grams(text), minlength=BUCKETS)
-        i, j = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int64) * BUCKETS + j), pa.array(counts[i, j])], ["at", "n"])
+                made = np.bincount(grams(text), minlength=BUCKETS)
+                if lang in counts:
+                    counts[lang] += made
+                else:
+                    counts[lang] = made
+        for lang, n in counts.items():
+            j = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(j + at[lang] * BUCKETS), pa.array(n[j])], ["at", "n"])
 
     rows = spread(tagged).mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(len(langs) * BUCKETS)
     counts[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
-    counts = counts.reshape(len(langs), BUCKETS) + 0.1
+    counts = counts.reshape(len(langs), BUCKETS)
+    enough = counts.sum(axis=1) >= MIN_GRAMS
+    langs, counts = [x for x, ok in zip(langs, enough, strict=True) if ok], counts[enough] + 0.1
     return langs, np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32).copy()
 
 

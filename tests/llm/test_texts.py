@@ -128,6 +128,13 @@ def test_language_model_on_held_out_texts(spark):
     assert pair_quality.language_of("", langs, table)[0] is None
 
 
+def test_rare_languages_have_a_class(spark):
+    docs = [(t, lang) for t, lang in ((EN, "en"), (DE, "de")) for _ in range(2500)] + [(ES * 3, "es")] * 3 + [("hola", "xx")]
+    langs, table = pair_quality.language_model(spark.createDataFrame(docs, "text string, lang string"))
+    assert langs == ["de", "en", "es"]
+    assert pair_quality.language_of("el perro no está con los otros en la casa", langs, table)[0] == "es"
+
+
 def test_spelling_is_undone():
     same = ["idiot", "1d1ot", "IDIOOOT", "i_d_i_o_t", "i-d-i-o-t", "id​iot", "іdiоt", "ｉｄｉｏｔ", "ídiot"]
     assert {tuple(abuse.plain_tokens(s)) for s in same} == {("idiot",)}
