@@ -1,318 +1,52 @@
 """Near-duplicate records by an LSH forest over word shingles.
 
-Every class of records with the same words has a signature of ``HASHES`` min-hash labels.  A tree
-takes them in an order of its own; the classes of a tree, sorted by their labels in that order, form
-regions of equal first ``MIN_DEPTH`` labels, and neighbours in a region are candidates.  The depth
-adapts to the region: one of more than ``REGION`` members that met by chance (labels of common
-phrases) is split by its next label, and so on; a dense family, in which the next label is shared
-too, keeps its depth and has all its pairs formed, block by block and spread over tasks where it is
-large.  Candidates, neighbours in any tree, whose sizes and parities leave room for the threshold are
-then compared exactly.
+Every class of records with the same words is in ``signatures.TREES`` trees, each an order of its own
+of the labels of its min-hash signature.  Classes with a common first label form a region of a tree,
+in which neighbours are candidates: all of them where the region is sparse; where it is crowded,
+those with a longer common prefix in one of several further orders, the longer the more crowded it
+is.  Candidates have fingerprints within the radius of the threshold; their texts are compared
+exactly.  See ``signatures`` for the depths, and for the probability of a meeting, which doesn't
+depend on how crowded a region is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm import signatures
 from tessera.llm.similarity import components, texts_of, verify_pairs
-from tessera.llm.split_overlap import EPS, Fingerprints
-from tessera.llm.text import WordHasher, flat_shingles, flat_words, mix, sequence_keys
-from tessera.session import materialize, spread
-
-HASHES, TREES, MIN_DEPTH, MORE_LABELS = 48, 24, 2, 4
-#: Members of a region that keeps its depth, and of one that a single task works on.
-REGION, HELD = 16, 20_000
-#: A region in which one next label has this share of the members is a dense family.
-DENSE_SHARE = 0.3
-#: A dense family of more members has its pairs formed in blocks of so many.
-BLOCK = 1_000
-#: Labels have 24 bits; those after the first two only 8 in the sort order.
-KEY_BITS, LABEL_BITS = 24, 8
-#: Neighbours of a single tree are candidates; further trees and labels in common count 1 each.
-MIN_SCORE = 1
-#: Bits of a class's parities.
-PARITY_BITS = 256
-#: Keys a task remembers so as not to sign copies again.
-SEEN = 500_000
-
-
-PARITIES = [f"p{i}" for i in range(PARITY_BITS // 64)]
+from tessera.session import materialize
 
 
 def _text(cols: list[str]):
     return F.concat_ws(" ", *(F.coalesce(F.col(c), F.lit("")) for c in cols))
 
 
-def sign(df: DataFrame, row_col: str, text_cols: list[str], size: int) -> DataFrame:
-    """(row, key, labels, n, p0..): the class of every row, and for the first row of a class within its
-    task its signature (3 bytes a label), the number of its shingles and their parities; null for the
-    rest."""
-    seeds = np.random.default_rng(20_240_229).integers(1, 2**63, (2, HASHES), dtype=np.uint64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen, make = WordHasher(), set(), Fingerprints(PARITY_BITS)
-        for batch in batches:
-            flat, ends = flat_words(batch.column(1).to_pylist(), hasher)
-            keys = sequence_keys(flat, ends)
-            sh, at = flat_shingles(flat, ends, size)
-            low = np.empty((len(keys), HASHES), np.uint64)
-            with np.errstate(over="ignore"):
-                for i in range(HASHES if len(keys) else 0):
-                    low[:, i] = np.minimum.reduceat((sh ^ seeds[0, i]) * (seeds[1, i] | np.uint64(1)), at[:-1])
-            raw = mix(low).astype("<u8").view(np.uint8).reshape(len(keys), HASHES, 8)[:, :, :3].reshape(len(keys), -1)
-            labels, sets = [], []
-            for i, k in enumerate(keys.tolist()):
-                if k in seen:
-                    labels.append(None)
-                    continue
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(k)
-                labels.append(raw[i].tobytes())
-                sets.append(np.unique(sh[at[i] : at[i + 1]]))
-            n = np.array([len(x) for x in sets], np.int64)
-            part = np.zeros((0, PARITY_BITS // 64), np.int64)
-            if sets:
-                part = np.packbits(make.of(np.concatenate(sets), np.repeat(np.arange(len(n)), n), len(n)), axis=1).view(np.int64)
-            new = np.array([x is not None for x in labels], bool)
-            to = pa.array(np.maximum(np.cumsum(new) - 1, 0), mask=~new)
-            cols = [pa.array(x).take(to) for x in (n.astype(np.int32), *part.T)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys), pa.array(labels, pa.binary()), *cols], ["row", "key", "labels", "n", *PARITIES])
-
-    source = spread(df.select(F.col(row_col).cast("bigint").alias("row"), _text(text_cols).alias("text")))
-    return source.mapInArrow(run, "row bigint, key bigint, labels binary, n int, " + ", ".join(f"{c} bigint" for c in PARITIES))
-
-
-def entries(signed: DataFrame) -> DataFrame:
-    """(region, deep, key) of every class in every tree: the region is the tree and its first
-    labels, deep has the further labels."""
-    rng = np.random.default_rng(1)
-    orders = np.array([rng.permutation(HASHES)[: MIN_DEPTH + MORE_LABELS] for _ in range(TREES)])
-
-    def run(batches):
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(n, HASHES, 3).astype(np.int64)
-            label = raw[:, :, 0] | (raw[:, :, 1] << 8) | (raw[:, :, 2] << 16)
-            region = np.broadcast_to(np.arange(TREES, dtype=np.int64), (n, TREES)).copy()
-            for i in range(MIN_DEPTH):
-                region = (region << KEY_BITS) | label[:, orders[:, i]]
-            deep = np.zeros((n, TREES), np.int64)
-            for i in range(MIN_DEPTH, MIN_DEPTH + MORE_LABELS):
-                deep = (deep << LABEL_BITS) | (label[:, orders[:, i]] & ((1 << LABEL_BITS) - 1))
-            keys = np.repeat(batch.column(0).to_numpy(), TREES)
-            yield pa.RecordBatch.from_arrays([pa.array(region.ravel()), pa.array(deep.ravel()), pa.array(keys)], ["region", "deep", "key"])
-
-    return signed.where("labels IS NOT NULL").select("key", "labels").mapInArrow(run, "region bigint, deep bigint, key bigint")
-
-
-def _agreement(deep_a: np.ndarray, deep_b: np.ndarray) -> np.ndarray:
-    """Number of further labels in common."""
-    x = deep_a ^ deep_b
-    mask = (1 << LABEL_BITS) - 1
-    return sum((((x >> (LABEL_BITS * i)) & mask) == 0).astype(np.int32) for i in range(MORE_LABELS))
-
-
-def _pairs_within(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all pairs inside stretches, without a loop over stretches of one size."""
-    left, right = [], []
-    for n in np.unique(sizes):
-        i, j = np.triu_indices(n, 1)
-        at = starts[sizes == n][:, None]
-        left.append((at + i).ravel())
-        right.append((at + j).ravel())
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
-
-
-def region_pairs(region: np.ndarray, deep: np.ndarray, depth: int, limit: int, block: int):
-    """Pairs of places (i, j) of neighbours, and the places of families too large for one task.
-
-    The arrays are sorted; regions are whole.  ``depth`` labels of ``deep`` already count as part of
-    the region."""
-    left, right, dense = [], [], []
-    start = np.concatenate([[0], np.flatnonzero(region[1:] != region[:-1]) + 1])
-    size = np.diff(np.concatenate([start, [len(region)]]))
-    while True:
-        keep = size > 1
-        start, size = start[keep], size[keep]
-        small = size <= limit
-        if depth == MORE_LABELS:
-            family = ~small
-        else:
-            # Members of a large region by their next label, which they are sorted by.
-            shift = LABEL_BITS * (MORE_LABELS - 1 - depth)
-            big = np.flatnonzero(~small)
-            at = np.concatenate([np.arange(start[k], start[k] + size[k]) for k in big]) if len(big) else np.zeros(0, np.int64)
-            owner = np.repeat(big, size[big])
-            label = deep[at] >> shift
-            new = np.concatenate([[True], (label[1:] != label[:-1]) | (owner[1:] != owner[:-1])]) if len(at) else np.zeros(0, bool)
-            sub_start, sub_owner = at[new], owner[new]
-            sub_size = np.diff(np.concatenate([np.flatnonzero(new), [len(at)]]))
-            most = np.zeros(len(start), np.int64)
-            np.maximum.at(most, sub_owner, sub_size)
-            family = ~small & (most >= DENSE_SHARE * size)
-        whole = small | (family & (size <= block))
-        i, j = _pairs_within(start[whole], size[whole])
-        left.append(i)
-        right.append(j)
-        dense += [np.arange(start[k], start[k] + size[k]) for k in np.flatnonzero(family & (size > block))]
-        if depth == MORE_LABELS:
-            break
-        deeper = ~family[sub_owner] if len(sub_owner) else np.zeros(0, bool)
-        start, size, depth = sub_start[deeper], sub_size[deeper], depth + 1
-        if not len(start):
-            break
-    none = np.zeros(0, np.int64)
-    return np.concatenate(left), np.concatenate(right), np.concatenate(dense) if dense else none
-
-
-def neighbours(level_entries: DataFrame, depth: int, limit: int = REGION, held_most: int = HELD, block: int = BLOCK) -> DataFrame:
-    """(a, b, score) with a < b for candidates; rows with null a are entries that are left over,
-    with kind 1 those of regions too large for a task, with kind 2 those of dense families."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 3  # members of the region at the end of the last batch
-        large = None  # a region known to be too large: its members pass through
-
-        def out(a, b, score, kind, rest):
-            n, m = len(a), len(rest[0])
-            none = lambda k, t: pa.nulls(k, t)
-            cols = [pa.concat_arrays([pa.array(x, pa.int64()), none(m, pa.int64())]) for x in (a, b)]
-            cols += [pa.concat_arrays([pa.array(score, pa.int32()), pa.array(kind, pa.int32())])]
-            cols += [pa.concat_arrays([none(n, pa.int64()), pa.array(x, pa.int64())]) for x in rest]
-            return pa.RecordBatch.from_arrays(cols, ["a", "b", "score", "region", "deep", "key"])
-
-        def work(cols, last: bool):
-            nonlocal large
-            region, deep, key = cols
-            edge = len(region)
-            if not last and edge:
-                edge = int(np.searchsorted(region, region[-1]))
-            passing = region[:edge] == large if large is not None else np.zeros(edge, bool)
-            now = [x[:edge][~passing] for x in cols]
-            passed = [x[:edge][passing] for x in cols]
-            rest = [x[edge:] for x in cols]
-            if len(rest[0]) and (rest[0][0] == large or len(rest[0]) > held_most):
-                large = rest[0][0]
-                passed = [np.concatenate([p, r]) for p, r in zip(passed, rest, strict=True)]
-                rest = [x[:0] for x in rest]
-            i, j, dense = region_pairs(now[0], now[1], depth, limit, block) if len(now[0]) else (np.zeros(0, np.int64),) * 3
-            ka, kb = now[2][i], now[2][j]
-            keep = ka != kb
-            score = 1 + _agreement(now[1][i], now[1][j])[keep]
-            kind = np.concatenate([np.full(len(passed[0]), 1), np.full(len(dense), 2)])
-            left_over = [np.concatenate([p, x[dense]]) for p, x in zip(passed, now, strict=True)]
-            return out(np.minimum(ka, kb)[keep], np.maximum(ka, kb)[keep], score, kind, left_over), rest
-
-        for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
-            if not len(cols[0]):
-                continue
-            # Copies of one class, signed by several tasks, are neighbours in this order.
-            keep = np.ones(len(cols[0]), bool)
-            keep[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[2][1:] != cols[2][:-1]) | (cols[1][1:] != cols[1][:-1])
-            made, held = work([c[keep] for c in cols], last=False)
-            yield made
-        if len(held[0]):
-            yield work(held, last=True)[0]
-
-    ordered = level_entries.repartition("region").sortWithinPartitions("region", "deep", "key")
-    return ordered.mapInArrow(run, "a bigint, b bigint, score int, region bigint, deep bigint, key bigint")
-
-
-def dense_pairs(members: DataFrame, block: int = BLOCK) -> DataFrame:
-    """All pairs (a, b, score) of the members of dense regions, in blocks of about ``block``
-    members: each pair of blocks is one group, so a region of any size spreads over many tasks."""
-    members = members.distinct()
-    sizes = members.groupBy("region").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    tagged = members.join(sizes, "region").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    spread_out = tagged.withColumn("other", other).select(
-        "region", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), F.col("block").alias("mine"), "deep", "key"
-    )
-    left, right = spread_out.where("mine = x").alias("l"), spread_out.where("mine = y").alias("r")
-    equal = [LABEL_BITS * i for i in range(MORE_LABELS)]
-    mask = (1 << LABEL_BITS) - 1
-    agree = sum(((F.shiftright(F.col("l.deep").bitwiseXOR(F.col("r.deep")), s).bitwiseAND(F.lit(mask))) == 0).cast("int") for s in equal)
-    met = left.join(right, (F.col("l.region") == F.col("r.region")) & (F.col("l.x") == F.col("r.x")) & (F.col("l.y") == F.col("r.y")) & (F.col("l.key") != F.col("r.key")))
-    # Within one block both directions meet; across blocks only one does: keep a < b of either.
-    met = met.where((F.col("l.x") < F.col("l.y")) | (F.col("l.key") < F.col("r.key")))
-    return met.select(F.least("l.key", "r.key").alias("a"), F.greatest("l.key", "r.key").alias("b"), (1 + agree).alias("score"))
-
-
-def candidates(signed: DataFrame, limit: int = REGION, held: int = HELD, block: int = BLOCK, min_score: int = MIN_SCORE) -> DataFrame:
-    """Distinct pairs of classes (a, b), a < b, that are neighbours in a tree, or agree in more."""
-    level, pairs = entries(signed), None
-    for depth in range(MORE_LABELS + 1):
-        made = materialize(neighbours(level, depth, limit, held, block), "forest")
-        new = made.where("a IS NOT NULL").select("a", "b", "score")
-        pairs = new if pairs is None else pairs.unionByName(new)
-        rest = made.where("a IS NULL")
-        kinds = {r.score for r in rest.select("score").distinct().collect()}  # at most 1 and 2
-        if 2 in kinds:
-            pairs = pairs.unionByName(dense_pairs(_to_regions(rest.where("score = 2")), block))
-        if 1 not in kinds:
-            break
-        rest = rest.where("score = 1").select("region", "deep", "key")
-        if depth == MORE_LABELS:
-            pairs = pairs.unionByName(dense_pairs(rest, block))
-            break
-        shift = LABEL_BITS * (MORE_LABELS - 1 - depth)
-        label = F.shiftright("deep", shift).bitwiseAND(F.lit((1 << LABEL_BITS) - 1))
-        top = rest.groupBy("region", label.alias("label")).agg(F.count("*").alias("n")).groupBy("region").agg((F.max("n") / F.sum("n")).alias("share"))
-        rest = rest.join(top, "region")
-        pairs = pairs.unionByName(dense_pairs(rest.where(F.col("share") >= DENSE_SHARE).drop("share"), block))
-        level = rest.where(F.col("share") < DENSE_SHARE).select(F.xxhash64("region", label).alias("region"), "deep", "key")
-    return pairs.groupBy("a", "b").agg(F.sum("score").alias("score")).where(F.col("score") >= min_score).select("a", "b")
-
-
-def reachable(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose sizes and parities leave room for the threshold; none that reaches it is lost."""
-    sets = signed.where("labels IS NOT NULL").select("key", "n", *PARITIES).dropDuplicates(["key"])
-    left = sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), *(F.col(c).alias(f"{c}_a") for c in PARITIES))
-    n, m = F.col("n_a"), F.col("n")
-    apart = sum(F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(c))) for c in PARITIES)
-    room = (F.least(n, m) >= threshold * F.greatest(n, m) - EPS) & (apart * (1 + threshold) <= (1 - threshold) * (n + m) + EPS)
-    return pairs.join(left, "a").join(sets.withColumnRenamed("key", "b"), "b").where(room).select("a", "b")
-
-
-def _to_regions(rest: DataFrame) -> DataFrame:
-    return rest.select("region", "deep", "key")
-
-
 def near_duplicates(
     df: DataFrame,
     row_col: str = "row_index",
     text_cols: list[str] = ("prompt", "response"),
     size: int = 5,
     threshold: float = 0.8,
-    limit: int = REGION,
-    held: int = HELD,
-    block: int = BLOCK,
+    limit: int = signatures.LIMIT,
+    held: int = signatures.HELD,
+    block: int = signatures.BLOCK,
 ) -> tuple[DataFrame, DataFrame]:
     """(members, links): members is (row, key), the class of every row; links is (a, b,
-    similarity), all pairs of classes whose shingle sets reach the threshold.
+    similarity), all pairs of classes whose shingle sets reach the threshold, each once.
 
     The text of a row is its columns joined by a blank, null counting as empty; rows without any
     word form one class, rows of fewer words than a shingle are one shingle.  Repeated rows are
     members of one class; an empty table has no members.  Other columns are not looked at.
     """
-    signed = materialize(sign(df, row_col, list(text_cols), size), "forest-signed")
+    text = _text(list(text_cols))
+    signed = materialize(signatures.sign(df, row_col, text, size), "forest-signed")
     members = signed.select("row", "key")
-    pairs = materialize(reachable(candidates(signed, limit, held, block), signed, threshold), "forest-candidates")
+    pairs = materialize(signatures.candidates(signed, signatures.entries(signed), threshold, limit, held, block), "forest-candidates")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key")))
-    source = df.select(F.col(row_col).cast("bigint").alias("row"), _text(list(text_cols)).alias("text"))
-    texts = texts_of(keys, members, source)
-    return members, verify_pairs(pairs, texts, size, threshold)
+    source = df.select(F.col(row_col).cast("bigint").alias("row"), text.alias("text"))
+    return members, verify_pairs(pairs, texts_of(keys, members, source), size, threshold)
 
 
 def row_pairs(members: DataFrame, links: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.text import WordHasher, flat_shingles, flat_words, jaccard
+from tessera.llm.text import flat_shingles, flat_words, jaccard
 from tessera.session import materialize
 
 
@@ -63,18 +63,20 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame, size: int, threshold: float
     both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
 
     def run(batches):
-        hasher = WordHasher()
         for batch in batches:
             if not batch.num_rows:
                 continue
             ka, kb = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            # The pairs come sorted by a: each text of a is cut once.
-            new = np.concatenate([[True], ka[1:] != ka[:-1]])
-            of = np.cumsum(new) - 1
-            left, at = flat_shingles(*flat_words(batch.column(2).take(pa.array(np.flatnonzero(new))).to_pylist(), hasher), size)
-            right, bt = flat_shingles(*flat_words(batch.column(3).to_pylist(), hasher), size)
-            sets = [np.unique(left[at[i] : at[i + 1]]) for i in range(len(at) - 1)]
-            sim = np.array([jaccard(sets[i], np.unique(right[bt[j] : bt[j + 1]])) for j, i in enumerate(of)])
+            # Every text of the batch is cut once, however many pairs it is in.
+            keys, first, of = np.unique(np.concatenate([ka, kb]), return_index=True, return_inverse=True)
+            sides = [first[first < len(ka)], first[first >= len(ka)] - len(ka)]
+            texts = pa.chunked_array([batch.column(2).take(pa.array(sides[0])), batch.column(3).take(pa.array(sides[1]))])
+            place = np.empty(len(keys), np.int64)
+            place[np.concatenate([np.flatnonzero(first < len(ka)), np.flatnonzero(first >= len(ka))])] = np.arange(len(keys))
+            flat, at = flat_shingles(*flat_words(texts.to_pylist()), size)
+            sets = [np.unique(flat[at[i] : at[i + 1]]) for i in range(len(at) - 1)]
+            i, j = place[of[: len(ka)]], place[of[len(ka) :]]
+            sim = np.array([jaccard(sets[x], sets[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)])
             ok = sim >= threshold
             yield pa.RecordBatch.from_arrays([pa.array(ka[ok]), pa.array(kb[ok]), pa.array(sim[ok], pa.float64())], ["a", "b", "similarity"])
 

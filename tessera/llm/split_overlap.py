@@ -1,128 +1,29 @@
-"""Records shared by splits: an exact prefix join over word shingles.
-
-Every class of prompts with the same words has a set of shingles, in one order for all classes: rare
-ones first, by a sketch of their frequencies.  Two sets that reach the threshold share a shingle
-among the first ``n - ceil(threshold * n) + 1`` of each, so prompts of different splits that share
-none aren't compared.  Those that do stay candidates if the places of the shared shingle, the sizes
-and the parities of the sets leave room for the threshold, and are then compared exactly.  None of
-these steps drops a pair that reaches it, however the prompts differ.
-
-Before the shuffle, shingles of the training side that no held-out prompt has among its first ones
-are dropped by a bitmap of ``2**FILTER_BITS`` bits, 8 MB whatever the data.
+"""Records shared by splits: fingerprints of bits, joined across splits by code blocks.
+
+Every class of prompts with the same words has a similarity hash, the labels of its min-hash
+signature: fingerprints of 1,920 bits in which the bits of a label agree with the similarity of the
+shingle sets.  (Signs of random projections are the other such hash.  At a similarity of 0.5 their
+bits agree too often by chance: with 80 blocks of 20 bits, of pairs that share one passage and differ
+in another 39 % were found.)  ``signatures.TREES`` blocks of 40 bits are joined across splits; those
+of the training side that no held-out prompt has are dropped by a bitmap before the shuffle.  Pairs
+that share a block stay candidates if their fingerprints lie within the radius of the threshold, in
+four bits of each label; crowded blocks are joined with further bits in several orders, see
+``signatures``.  The texts of the candidates are then compared exactly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from math import ceil, log2
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm import signatures
 from tessera.llm.similarity import presence, texts_of, verify_pairs
-from tessera.llm.text import WordHasher, flat_shingles, flat_words, sequence_keys
-from tessera.session import materialize, spread
-
-#: Counters of the frequency sketch; it counts one class of so many, as it gives only an order.
-RANK_BITS, RANK_SAMPLE = 20, 8
-FILTER_BITS = 26
-#: Bits of a set's parities.
-PARITY_BITS = 192
-#: Keys a task remembers so as not to cut copies again.
-SEEN = 500_000
-#: Slack of comparisons with products of the threshold.
-EPS = 1e-6
-
-
-class Fingerprints:
-    """Parities of a set: by bit, whether an odd number of its members fall on it.  Two sets' parities
-    differ in no more bits than the sets have members that aren't common."""
-
-    def __init__(self, bits: int):
-        self.bits = bits
-
-    def of(self, flat: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-        """[set, bit] of ``n`` sets of hashes."""
-        place = ((flat >> np.uint64(8)) % np.uint64(self.bits)).astype(np.int64)
-        return np.bincount(owner * self.bits + place, minlength=n * self.bits).reshape(n, self.bits) & 1 == 1
-
-    def __call__(self, tokens: set[str]) -> np.ndarray:
-        flat = WordHasher()(list(tokens))
-        return self.of(flat, np.zeros(len(flat), np.int64), 1)[0]
-
-
-def cut(df: DataFrame, row_col: str, text_col: str, side, size: int) -> DataFrame:
-    """(row, held, key, runs): prompts with at least one word and their distinct shingles; runs is
-    null for rows of a class and side that the task has met before."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = WordHasher(), set()
-        for batch in batches:
-            flat, ends = flat_words(batch.column(2).to_pylist(), hasher)
-            keys, some = sequence_keys(flat, ends), np.diff(ends) > 0
-            sh, at = flat_shingles(flat, ends, size)
-            made = []
-            for i, (k, s, ok) in enumerate(zip(keys.tolist(), batch.column(1).to_pylist(), some.tolist(), strict=True)):
-                if not ok or (k, s) in seen:
-                    made.append(None)
-                    continue
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add((k, s))
-                made.append(np.unique(sh[at[i] : at[i + 1]]).tobytes())
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys), pa.array(made, pa.binary())], ["row", "held", "key", "runs"])
-            yield out.filter(pa.array(some))
-
-    source = df.select(F.col(row_col).cast("bigint").alias("row"), side.alias("held"), F.col(text_col).alias("text"))
-    return spread(source.where("held IS NOT NULL AND text IS NOT NULL")).mapInArrow(run, "row bigint, held boolean, key bigint, runs binary")
-
-
-def frequencies(sets: DataFrame, sample: int = RANK_SAMPLE) -> np.ndarray:
-    """How often shingles occur in a sample of the classes, by their first bits: at most
-    ``2**RANK_BITS`` rows reach the driver, whatever the data."""
-
-    def run(batches):
-        n = np.zeros(1 << RANK_BITS, np.int64)
-        for batch in batches:
-            flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
-            n += np.bincount((flat >> np.uint64(64 - RANK_BITS)).astype(np.int64), minlength=len(n))
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["at", "n"])
-
-    some = sets.where(F.pmod(F.xxhash64("key"), F.lit(sample)) == 0).select("runs")
-    rows = some.mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    full = np.zeros(1 << RANK_BITS, np.int64)
-    full[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
-    return full
-
-
-def prefixes(sets: DataFrame, threshold: float, rank, bitmap=None) -> DataFrame:
-    """(code, key, n, at, c0..): the first shingles of every class in the common order, with the size
-    of its set, the place of the shingle and the parities.  With ``bitmap``, only those whose bit is
-    set."""
-    check = [f"c{i}" for i in range(PARITY_BITS // 64)]
-
-    def run(batches):
-        make = Fingerprints(PARITY_BITS)
-        for batch in batches:
-            raw = batch.column(1).to_pylist()
-            if not raw:
-                continue
-            flat, n = np.frombuffer(b"".join(raw), np.uint64), np.array([len(x) // 8 for x in raw])
-            owner = np.repeat(np.arange(len(n)), n)
-            part = np.packbits(make.of(flat, owner, len(n)), axis=1).view(np.int64)
-            order = np.lexsort((flat, rank.value[(flat >> np.uint64(64 - RANK_BITS)).astype(np.int64)], owner))
-            flat, at = flat[order], np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-            on = at <= (n - np.ceil(threshold * n - EPS).astype(np.int64))[owner]
-            if bitmap is not None:
-                bit = (flat >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                on &= (bitmap.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-            flat, at, owner = flat[on].view(np.int64), at[on], owner[on]
-            keys = batch.column(0).to_numpy()[owner]
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(keys), pa.array(n[owner].astype(np.int32)), pa.array(at.astype(np.int32)), *(pa.array(part[owner, i]) for i in range(len(check)))], ["code", "key", "n", "at", *check])
+from tessera.session import materialize
 
-    return sets.select("key", "runs").mapInArrow(run, "code bigint, key bigint, n int, at int, " + ", ".join(f"{c} bigint" for c in check))
+#: The bitmap has 16 bits for each block of the held-out side, within these powers of 2.
+BITMAP_BITS = (16, 28)
 
 
 def split_overlaps(
@@ -132,6 +33,9 @@ def split_overlaps(
     text_col: str = "prompt",
     size: int = 5,
     threshold: float = 0.8,
+    limit: int = signatures.LIMIT,
+    held: int = signatures.HELD,
+    block: int = signatures.BLOCK,
 ) -> tuple[DataFrame, DataFrame]:
     """(members, links): members is (row, held, key) of every row with words in its text; links is
     (a, b, similarity) with a a class of the training side and b one of the held-out side, a <> b
@@ -142,19 +46,15 @@ def split_overlaps(
     members each; an empty table or side gives no links.  Other columns are not looked at.
     """
     spark = df.sparkSession
-    cuts = materialize(cut(df, row_col, text_col, held_out, size), "overlap-runs")
-    members = cuts.select("row", "held", "key")
-    sets = cuts.where("runs IS NOT NULL")
-    rank = spark.sparkContext.broadcast(frequencies(sets))
-    held = prefixes(sets.where("held"), threshold, rank)
-    bitmap = spark.sparkContext.broadcast(presence(held.select(F.shiftrightunsigned("code", 64 - FILTER_BITS).alias("code")), FILTER_BITS))
-    train = prefixes(sets.where("NOT held"), threshold, rank, bitmap)
-    n, m = F.col("t.n"), F.col("h.n")
-    apart = sum(F.bit_count(F.col(f"t.c{i}").bitwiseXOR(F.col(f"h.c{i}"))) for i in range(PARITY_BITS // 64))
-    # The first shingle that two sets share has all others they share behind it.
-    near = (F.least(n - F.col("t.at"), m - F.col("h.at")) * (1 + threshold) >= threshold * (n + m) - EPS) & (apart * (1 + threshold) <= (1 - threshold) * (n + m) + EPS)
-    met = train.alias("t").join(held.alias("h"), F.col("t.code") == F.col("h.code")).where(near & (F.col("t.key") != F.col("h.key")))
-    pairs = materialize(met.select(F.col("t.key").alias("a"), F.col("h.key").alias("b")).distinct(), "overlap-candidates")
+    side = F.when(held_out, 1).when(~held_out, 2)
+    signed = materialize(signatures.sign(df, row_col, F.col(text_col), size, side), "overlap-signed")
+    members = signed.select("row", (F.col("side") == 1).alias("held"), "key")
+    one, two = signed.where("side = 1"), signed.where("side = 2")
+    n = one.where("codes IS NOT NULL").count()
+    bits = min(max(BITMAP_BITS[0], ceil(log2(16 * signatures.TREES * n + 1))), BITMAP_BITS[1])
+    bitmap = spark.sparkContext.broadcast(presence(signatures.places(one, bits), bits))
+    level = signatures.entries(one).unionByName(signatures.entries(two, bitmap, bits))
+    pairs = materialize(signatures.candidates(signed, level, threshold, limit, held, block), "overlap-candidates")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key")))
     source = df.select(F.col(row_col).cast("bigint").alias("row"), F.col(text_col).alias("text")).where("text IS NOT NULL")
     texts = texts_of(keys, members, source)

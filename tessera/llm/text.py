@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import cache
 from hashlib import blake2b
 
 import numpy as np
@@ -21,26 +22,6 @@ def word_hash(word: str) -> int:
     return int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
-class WordHasher:
-    """Caches word hashes; the cache is emptied when it holds ``limit`` words."""
-
-    def __init__(self, limit: int = 200_000):
-        self.cache: dict[str, int] = {}
-        self.limit = limit
-
-    def __call__(self, tokens: list[str]) -> np.ndarray:
-        cache = self.cache
-        if len(cache) > self.limit:
-            cache.clear()
-        out = []
-        for t in tokens:
-            h = cache.get(t)
-            if h is None:
-                h = cache[t] = word_hash(t)
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (full avalanche)."""
     with np.errstate(over="ignore"):
@@ -49,39 +30,47 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Distinct hashed runs of ``size`` consecutive words, sorted.
-
-    A text of fewer words counts as one run; a text without words as the run of nothing.
-    """
-    n = len(hashes)
-    with np.errstate(over="ignore"):
-        if n < size:
-            acc = np.uint64(n + 1)
-            for h in hashes:
-                acc = mix(np.array([acc * np.uint64(31) + h], dtype=np.uint64))[0]
-            return np.array([acc], dtype=np.uint64)
-        acc = np.zeros(n - size + 1, dtype=np.uint64)
-        for k in range(size):
-            acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + hashes[k : n - size + 1 + k])
-    return np.unique(acc)
-
-
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Of two sorted arrays of distinct values."""
     common = len(np.intersect1d(a, b, assume_unique=True))
     return common / (len(a) + len(b) - common)
 
 
-def flat_words(texts: list[str | None], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, one after another, and where each text's words begin and end."""
-    parts, ends, n = [], np.zeros(len(texts) + 1, np.int64), 0
-    for i, t in enumerate(texts):
-        w = words(t)
-        parts += w
-        n += len(w)
-        ends[i + 1] = n
-    return hasher(parts), ends
+@cache
+def wordy() -> np.ndarray:
+    """By code point, whether it is a letter or digit."""
+    return np.array([chr(i).isalnum() for i in range(0x110000)])
+
+
+def _flat(lows: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of lower-case texts, and the number of words of each."""
+    c = np.frombuffer("\n".join(lows).encode("utf-32-le", "surrogatepass"), np.uint32)
+    on = wordy()[c]
+    edge = np.flatnonzero(np.diff(on, prepend=False, append=False))
+    start, size = edge[::2], edge[1::2] - edge[::2]
+    ends = np.cumsum([len(t) + 1 for t in lows])
+    first = np.cumsum(size) - size
+    with np.errstate(over="ignore"):
+        letter = c[on].astype(np.uint64)
+        letter += np.arange(len(letter), dtype=np.uint64) - np.repeat(first.astype(np.uint64), size) << np.uint64(32)
+        h = np.add.reduceat(mix(letter), first) if len(first) else np.zeros(0, np.uint64)
+        h = mix(h + size.astype(np.uint64))
+    return h, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
+def flat_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes, the same on every worker, of all words of the texts, one after another, and where
+    each text's words begin and end."""
+    parts, counts, lows, chars = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], [], 0
+    for k, t in enumerate(texts):
+        lows.append(t.lower() if t else "")
+        chars += len(lows[-1])
+        if chars > 100_000 or k == len(texts) - 1:
+            h, n = _flat(lows)
+            parts.append(h)
+            counts.append(n)
+            lows, chars = [], 0
+    return np.concatenate(parts), np.cumsum(np.concatenate(counts))
 
 
 def sequence_keys(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
