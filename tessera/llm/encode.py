@@ -2,21 +2,21 @@
 
 Plan: (1) every document is split once into words and written as blocks, each block with its own
 small word list; (2) the distinct words of all blocks are encoded once each; (3) ids return to the
-blocks by word and position, and documents are put together from positions.  Words that are
-themselves vocabulary entries are resolved from the vocabulary (at most ``MAX_VOCAB`` entries, so
-its broadcast is bounded) and never enter the join: the most frequent words of a language cannot
-become hot join keys.
+blocks by word and position, and documents are put together from positions.  The ``HEAD`` words of
+the table that most blocks have return by a broadcast, so that they cannot become hot join keys; the
+others by a join.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,9 +25,10 @@ from tessera.session import materialize, spread
 DEFAULT_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 #: Word pattern of the tokenizer (a fixed value of its definition).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MAX_VOCAB = 1_000_000
 #: A block ends at so many documents or characters, whichever comes first.
-BLOCK_DOCS, BLOCK_CHARS = 512, 2_000_000
+BLOCK_DOCS, BLOCK_CHARS = 2_000, 2_000_000
+#: Words of the table that are broadcast with their ids, and the most ids of such a word.
+HEAD, HEAD_IDS = 50_000, 16
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -42,12 +43,8 @@ def byte_alphabet() -> dict[str, int]:
 
 
 def read_tokenizer(path: str) -> str:
-    """The tokenizer's definition; its vocabulary must keep the bound of the broadcast."""
     with open(path, encoding="utf-8") as f:
-        text = f.read()
-    if len(json.loads(text)["model"]["vocab"]) > MAX_VOCAB:
-        raise ValueError(f"vocabulary of {path} exceeds {MAX_VOCAB} entries")
-    return text
+        return f.read()
 
 
 def _load(definition: str):
@@ -58,37 +55,9 @@ def _load(definition: str):
     return tok
 
 
-def _seed(definition: str, tok) -> dict[str, int]:
-    """Words that encode to one id, found by encoding every vocabulary entry that is valid text."""
-    alphabet, seed = byte_alphabet(), {}
-    texts, ids = [], []
-    for piece, i in json.loads(definition)["model"]["vocab"].items():
-        try:
-            texts.append(bytes(alphabet[c] for c in piece).decode("utf-8"))
-            ids.append(i)
-        except (KeyError, UnicodeDecodeError):
-            continue
-    for t, i, e in zip(texts, ids, tok.encode_batch(texts, add_special_tokens=False), strict=True):
-        if e.ids == [i]:
-            seed[t] = i
-    return seed
-
-
-_CACHE: dict[int, tuple] = {}
-
-
-def _worker(definition: str) -> tuple:
-    key = hash(definition)
-    if key not in _CACHE:
-        _CACHE.clear()
-        tok = _load(definition)
-        _CACHE[key] = (tok, _seed(definition, tok))
-    return _CACHE[key]
-
-
-def split_blocks(docs: DataFrame, id_col: str, text_col: str, definition) -> DataFrame:
-    """Blocks of documents: per document the length and the codes of its words (an id of the
-    vocabulary, or -1-k for the k-th word of the block's own list), and that list."""
+def split_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Blocks of documents: per document the number of its words and their places in the block's list
+    of distinct words, and that list."""
     id_type = docs.schema[id_col].dataType
     schema = T.StructType(
         [
@@ -107,7 +76,6 @@ def split_blocks(docs: DataFrame, id_col: str, text_col: str, definition) -> Dat
         import regex
 
         find = regex.compile(PATTERN).findall
-        seed = _worker(definition.value)[1]
         part, count = TaskContext.get().partitionId(), 0
         keys, sizes, codes, own, chars = [], [], [], {}, 0
 
@@ -122,12 +90,9 @@ def split_blocks(docs: DataFrame, id_col: str, text_col: str, definition) -> Dat
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = find(text) if text else []
                 for w in found:
-                    c = seed.get(w)
-                    if c is None:
-                        c = own.get(w)
-                        if c is None:
-                            c = own[w] = -1 - len(own)
-                    codes.append(c)
+                    if w not in own:
+                        own[w] = len(own)
+                codes += map(own.__getitem__, found)
                 keys.append(key)
                 sizes.append(len(found))
                 chars += len(text or "")
@@ -140,17 +105,17 @@ def split_blocks(docs: DataFrame, id_col: str, text_col: str, definition) -> Dat
 
 
 def encode_words(words: DataFrame, definition) -> DataFrame:
-    """Each distinct word (column ``word``) encoded once: (word, ids)."""
+    """Each distinct word (column ``word``) encoded once: (word, n, ids), n its number of rows."""
 
     def run(batches):
-        tok = _worker(definition.value)[0]
+        tok = _load(definition.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 ids = [e.ids for e in tok.encode_batch(part.column(0).to_pylist(), add_special_tokens=False)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.list_(pa.int32()))], ["word", "n", "ids"])
 
-    return words.select("word").distinct().mapInArrow(run, "word string, ids array<int>")
+    return words.groupBy("word").agg(F.count("*").alias("n")).mapInArrow(run, "word string, n bigint, ids array<int>")
 
 
 def encode_corpus(
@@ -165,49 +130,41 @@ def encode_corpus(
     spark = docs.sparkSession
     os_threads_off()
     definition = spark.sparkContext.broadcast(read_tokenizer(tokenizer_path))
-    blocks = materialize(split_blocks(docs, id_col, text_col, definition), "encode-blocks")
+    blocks = materialize(split_blocks(docs, id_col, text_col), "encode-blocks")
     used = blocks.select("block", F.posexplode("words").alias("pos", "word"))
+    known = materialize(encode_words(used, definition), "encode-words")
+    top = known.where((F.col("n") > 1) & (F.size("ids") <= HEAD_IDS)).orderBy(F.desc("n"), "word").limit(HEAD).select("word", "ids").toArrow()
+    head = spark.sparkContext.broadcast(dict(zip(top.column("word").to_pylist(), top.column("ids").to_pylist(), strict=True)))
+    frequent = F.broadcast(spark.createDataFrame(top.select(["word"]).to_pandas(), "word string"))
     own = (
-        used.join(encode_words(used, definition), "word")
+        used.join(frequent, "word", "left_anti")
+        .join(known.select("word", "ids"), "word")
         .groupBy("block")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("own"))
-        .select("block", F.col("own.ids").alias("own"))
+        .select("block", F.col("own.pos").alias("at"), F.col("own.ids").alias("own"))
     )
     out_schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
     def assemble(batches):
+        ready = head.value
         for batch in batches:
             for r in range(batch.num_rows):
-                keys, sizes, codes, own = (batch.column(i).slice(r, 1).flatten() for i in range(4))
+                keys, sizes, codes = (batch.column(i).slice(r, 1).flatten() for i in range(3))
+                ids = [ready.get(w) for w in batch.column(3)[r].as_py()]
+                for at, x in zip(batch.column(4)[r].as_py() or (), batch.column(5)[r].as_py() or (), strict=True):
+                    ids[at] = x
+                # One table of the ids of the block's words; then every word takes its stretch of it.
+                length = np.fromiter(map(len, ids), np.int64, len(ids))
+                table = np.fromiter(chain.from_iterable(ids), np.int32, int(length.sum()))
+                first = np.cumsum(length) - length
                 code = codes.to_numpy(zero_copy_only=False).astype(np.int64)
-                # One table of lengths and starts: vocabulary ids are themselves, own words follow.
-                own_values = own.flatten().to_numpy(zero_copy_only=False).astype(np.int32) if len(own) else np.zeros(0, np.int32)
-                own_len = np.array(own.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64) if len(own) else np.zeros(0, np.int64)
-                own_at = np.concatenate([[0], np.cumsum(own_len)])[:-1] if len(own) else np.zeros(0, np.int64)
-                is_own = code < 0
-                k = np.where(is_own, -1 - code, 0)
-                length = np.ones(len(code), np.int64)
-                if len(own):
-                    length[is_own] = own_len[k[is_own]]
-                ends = np.cumsum(length)
-                total = int(ends[-1]) if len(ends) else 0
-                starts = ends - length
-                values = np.zeros(total, np.int32)
-                values[starts[~is_own]] = code[~is_own]
-                if len(own) and is_own.any():
-                    lo = length[is_own]
-                    within = np.arange(lo.sum()) - np.repeat(np.cumsum(lo) - lo, lo)
-                    values[np.repeat(starts[is_own], lo) + within] = own_values[np.repeat(own_at[k[is_own]], lo) + within]
-                size = sizes.to_numpy(zero_copy_only=False).astype(np.int64)
-                edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(size)])].astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values, pa.int32()))
-                yield pa.RecordBatch.from_arrays([keys, ids], [id_col, ids_col])
-
-    return (
-        blocks.join(own, "block", "left")
-        .select("keys", "sizes", "codes", F.coalesce("own", F.array().cast("array<array<int>>")).alias("own"))
-        .mapInArrow(assemble, out_schema)
-    )
+                lo = length[code]
+                ends = np.cumsum(lo)
+                values = table[np.arange(int(lo.sum())) - np.repeat(ends - lo - first[code], lo)]
+                edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))])]
+                yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values))], [id_col, ids_col])
+
+    return blocks.join(own, "block", "left").select("keys", "sizes", "codes", "words", "at", "own").mapInArrow(assemble, out_schema)
 
 
 def os_threads_off() -> None:
@@ -216,25 +173,31 @@ def os_threads_off() -> None:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
-def pieces(spark: SparkSession, tokenizer_path: str = DEFAULT_TOKENIZER) -> DataFrame:
-    """(id, piece as hexadecimal bytes) of the vocabulary; at most ``MAX_VOCAB`` rows."""
+def pieces(tokenizer_path: str = DEFAULT_TOKENIZER) -> list[bytes]:
+    """The bytes of every id of the vocabulary; none where it has no bytes."""
     alphabet = byte_alphabet()
     vocab = json.loads(read_tokenizer(tokenizer_path))["model"]["vocab"]
-    rows = [(i, bytes(alphabet[c] for c in p).hex()) for p, i in vocab.items() if all(c in alphabet for c in p)]
-    return spark.createDataFrame(rows, "id int, piece string")
+    out = [b""] * (max(vocab.values(), default=-1) + 1)
+    for piece, i in vocab.items():
+        if all(c in alphabet for c in piece):
+            out[i] = bytes(alphabet[c] for c in piece)
+    return out
 
 
 def decode_corpus(
     encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", tokenizer_path: str = DEFAULT_TOKENIZER, text_col: str = "text"
 ) -> DataFrame:
-    """(id, text) by joining ids to pieces; the empty list gives the empty text, null gives null."""
-    rows = encoded.select(F.col(id_col).alias("__id"), F.col(ids_col).alias("__ids"), F.monotonically_increasing_id().alias("__row"))
-    vocab = F.broadcast(pieces(encoded.sparkSession, tokenizer_path))
-    parts = (
-        rows.select("__row", F.posexplode("__ids").alias("__pos", "id"))
-        .join(vocab, "id", "left")
-        .groupBy("__row")
-        .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__pos", "piece"))), lambda x: x["piece"]), "").alias("__hex"))
-    )
-    text = F.when(F.col("__ids").isNull(), F.lit(None).cast("string")).otherwise(F.decode(F.unhex(F.coalesce("__hex", F.lit(""))), "UTF-8"))
-    return rows.join(parts, "__row", "left").select(F.col("__id").alias(id_col), text.alias(text_col))
+    """(id, text) by looking ids up in the broadcast table of pieces, without a shuffle.  The empty
+    list gives the empty text, null gives null; ids without a piece, and null ones, give nothing, and bytes that are no text the
+    replacement character."""
+    shared = encoded.sparkSession.sparkContext.broadcast(pieces(tokenizer_path))
+    schema = T.StructType([T.StructField(id_col, encoded.schema[id_col].dataType), T.StructField(text_col, T.StringType())])
+
+    def run(batches):
+        table = shared.value
+        n = len(table)
+        for batch in batches:
+            texts = [None if ids is None else b"".join([table[i] for i in ids if i is not None and 0 <= i < n]).decode("utf-8", "replace") for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [id_col, text_col])
+
+    return encoded.select(F.col(id_col), F.col(ids_col)).mapInArrow(run, schema)

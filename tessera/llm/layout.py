@@ -1,9 +1,9 @@
 """Records that differ only in layout: recursive radix partitioning on canonical bytes, then tries.
 
 A record's canonical bytes are, for every field in the order of names, the letters and digits in
-lower case.  Level 0 of the radix is the fields' lengths; a bucket with more records than fit is
-split by further canonical bytes, level by level, until each fits or its records can't be told
-apart any more (one group of copies).  Only such a bucket is salted by row: each salt makes its own
+lower case.  Level 0 of the radix is the table and the first bytes; a bucket with more records than
+fit is split by further bytes, level by level, until each fits or its records can't be told apart any
+more (one group of copies).  Only such a bucket is salted by row: each salt makes its own
 trie, and the salts' smallest rows are reduced once more.  Buckets are streamed through tries with
 terminal counters, so memory follows the distinct records of one bucket, not its rows.
 """
@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 
 from tessera.session import materialize, spread
 
-#: Rows of a bucket that fit, bytes by which level 1 splits a bucket (each level takes twice as many
-#: more), the deepest level, and the salts of a bucket that bytes can't split.
+#: Rows of a bucket that fit, bytes of level 0 (each further level takes twice as many more), the
+#: deepest level, and the salts of a bucket that bytes can't split.
 BUCKET_ROWS, STEP_BYTES, MAX_LEVEL, SALTS = 50_000, 8, 24, 64
+#: Buckets split at one level, at most: they are broadcast.  Of more rows more fit into a bucket.
+MAX_SPLIT = 500_000
 DROP = re.compile(r"[\W_]+")
 END = b"\x00"
 
@@ -52,62 +54,61 @@ def canonical_json(payload: str | None) -> list[bytes] | None:
     return out
 
 
+def _head(parts: list[bytes]) -> bytes:
+    return ",".join(str(len(x)) for x in parts).encode()
+
+
 def canonical_rows(df: DataFrame, row_col: str, fields: list[str], as_json: bool = False, table: str = "") -> DataFrame:
-    """(tab, row, head, body): head has the lengths of the fields, body their canonical bytes.
+    """(tab, row, head, body): body has the canonical bytes of the fields, head their lengths.
     Unreadable JSON is left out."""
+    source = df.select(F.col(row_col).cast("bigint").alias("row"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(fields)))
+    if not as_json:
+        plain = [F.regexp_replace(F.lower(F.coalesce(f"c{i}", F.lit(""))), r"[^\p{L}\p{N}]+", "") for i in range(len(fields))]
+        source = source.select(F.lit(table).alias("tab"), "row", *(c.alias(f"c{i}") for i, c in enumerate(plain)))
+        cols = [F.col(f"c{i}") for i in range(len(fields))]
+        head = F.concat_ws(",", *(F.octet_length(c).cast("string") for c in cols))
+        return source.select("tab", "row", F.encode(head, "UTF-8").alias("head"), F.encode(F.concat_ws("\0", *cols), "UTF-8").alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(1, batch.num_columns)]
-            if as_json:
-                made = [canonical_json(x) for x in cols[0]]
-            else:
-                made = [[canonical(x) for x in row] for row in zip(*cols, strict=True)]
+            made = [canonical_json(x) for x in batch.column(1).to_pylist()]
             keep = [i for i, m in enumerate(made) if m is not None]
-            head = [b"".join(len(x).to_bytes(4, "big") for x in made[i]) for i in keep]
-            body = [END.join(made[i]) for i in keep]
+            head, body = [_head(made[i]) for i in keep], [END.join(made[i]) for i in keep]
             rows = batch.column(0).take(pa.array(keep, pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array([table] * len(keep), pa.string()), rows.cast(pa.int64()), pa.array(head, pa.binary()), pa.array(body, pa.binary())], ["tab", "row", "head", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array([table] * len(keep), pa.string()), rows, pa.array(head, pa.binary()), pa.array(body, pa.binary())], ["tab", "row", "head", "body"])
 
-    return spread(df.select(F.col(row_col).cast("bigint"), *fields)).mapInArrow(run, "tab string, row bigint, head binary, body binary")
+    return spread(source).mapInArrow(run, "tab string, row bigint, head binary, body binary")
 
 
 def _bytes(level: int, step: int) -> int:
     """Canonical bytes that count at a level: doubling steps, so a text of any length takes few."""
-    return min(step * (2**level - 1), 2**31 - 1)
+    return min(step * (2 ** (level + 1) - 1), 2**31 - 1)
 
 
 def _prefix(level: int, step: int):
-    """The radix key of a level: table, lengths, and the level's canonical bytes."""
-    key = F.concat(F.encode(F.col("tab"), "UTF-8"), F.lit(END), F.col("head"))
-    return F.concat(key, F.substring("body", 1, _bytes(level, step))) if level else key
+    """The radix key of a level: table and the level's canonical bytes."""
+    return F.xxhash64("tab", F.substring("body", 1, _bytes(level, step)))
 
 
-def radix_plan(rows: DataFrame, bucket_rows: int, step: int, max_level: int) -> tuple[int, DataFrame | None, DataFrame | None]:
-    """Splits oversized buckets by further bytes.  Returns the deepest level reached, the prefixes
-    split at each level (key, level) and those that can't be split (key); None where there are none.
+def radix_plan(rows: DataFrame, bucket_rows: int, step: int, max_level: int) -> tuple[list[DataFrame], DataFrame]:
+    """Splits oversized buckets by further bytes.  Returns, of each level, the buckets split there
+    (key), and those that can't be split (key).
 
-    Every level counts only rows inside buckets that were too large a level before.  The number of
-    such prefixes is at most rows / bucket_rows per level, whatever the data.  A bucket can't be
-    split if its records are all the same, or its bytes or levels are used up."""
-    spark = rows.sparkSession
-    split, stuck, level, open_rows = None, None, 0, rows
+    Every level counts only rows inside buckets that were too large a level before, so of any level
+    there are at most rows / bucket_rows.  A bucket can't be split if its records are all the same, or
+    its bytes or levels are used up."""
+    split, stuck, level, open_rows = [], None, 0, rows
     whole = F.xxhash64("tab", "head", "body")
     while True:
-        key = F.xxhash64(_prefix(level, step))
         same = F.min(whole) == F.max(whole)
-        counts = open_rows.groupBy(key.alias("key")).agg(F.count("*").alias("n"), (F.max(F.length("body") > _bytes(level, step)) & ~same).alias("more"))
-        large = counts.where(F.col("n") > bucket_rows).select("key", "more").collect()  # at most rows / bucket_rows
-        deeper = [r.key for r in large if r.more and level < max_level]
-        ended = [r.key for r in large if not (r.more and level < max_level)]
-        if ended:
-            new = spark.createDataFrame([(k,) for k in ended], "key bigint")
-            stuck = new if stuck is None else stuck.union(new)
-        if not deeper:
-            return level, split, stuck
-        new = spark.createDataFrame([(k, level) for k in deeper], "key bigint, level int")
-        split = new if split is None else split.union(new)
-        open_rows = open_rows.withColumn("__k", key).join(F.broadcast(new.select(F.col("key").alias("__k"))), "__k", "left_semi").drop("__k")
+        counts = open_rows.groupBy(_prefix(level, step).alias("key")).agg(F.count("*").alias("n"), (F.max(F.length("body") > _bytes(level, step)) & ~same & F.lit(level < max_level)).alias("more"))
+        large = materialize(counts.where(F.col("n") > bucket_rows).select("key", "more"), "layout-large")
+        ended, more = large.where("NOT more").select("key"), large.where("more").select("key")
+        stuck = ended if stuck is None else stuck.unionByName(ended)
+        if more.isEmpty():
+            return split, stuck
+        split.append(more)
+        open_rows = open_rows.withColumn("__k", _prefix(level, step)).join(F.broadcast(more.withColumnRenamed("key", "__k")), "__k", "left_semi").drop("__k")
         level += 1
 
 
@@ -148,19 +149,20 @@ def _by_bucket(rows: DataFrame, bucket_rows: int, step: int, max_level: int, sal
     """Rows in the order of their buckets (and salts), then of their numbers; and whether any bucket
     had to be salted."""
     rows = materialize(rows, "layout-canonical")
-    level, split, stuck = radix_plan(rows, bucket_rows, step, max_level)
-    # The bucket of a row: its key at the first level that isn't among the split prefixes.
-    parts: dict[int, set[int]] = {}
-    for r in split.collect() if split is not None else []:
-        parts.setdefault(r.level, set()).add(r.key)
-    bucket = F.xxhash64(_prefix(level, step))
-    for at in range(level - 1, -1, -1):
-        key = F.xxhash64(_prefix(at, step))
-        bucket = F.when(key.isin(*parts[at]), bucket).otherwise(key)
-    hot = [r.key for r in stuck.collect()] if stuck is not None else []
-    salt = F.when(F.col("bucket").isin(*hot), F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int")).otherwise(F.lit(0)) if hot else F.lit(0)
-    tagged = rows.withColumn("bucket", bucket).withColumn("salt", salt)
-    return tagged.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "row"), bool(hot)
+    bucket_rows = max(bucket_rows, rows.count() // MAX_SPLIT)
+    split, stuck = radix_plan(rows, bucket_rows, step, max_level)
+    # The bucket of a row: its key at the first level at which it isn't split.
+    tagged = rows.withColumn("bucket", _prefix(0, step))
+    for level, keys in enumerate(split):
+        tagged = tagged.join(F.broadcast(keys.select(F.col("key").alias("bucket"), F.lit(True).alias("__s"))), "bucket", "left")
+        tagged = tagged.withColumn("bucket", F.when(F.col("__s"), _prefix(level + 1, step)).otherwise(F.col("bucket"))).drop("__s")
+    hot = not stuck.isEmpty()
+    salt = F.lit(0)
+    if hot:
+        tagged = tagged.join(F.broadcast(stuck.select(F.col("key").alias("bucket"), F.lit(True).alias("__s"))), "bucket", "left")
+        salt = F.when(F.col("__s"), F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    tagged = tagged.select("tab", "row", "head", "body", "bucket", salt.alias("salt"))
+    return tagged.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "row"), hot
 
 
 def _through_tries(ordered: DataFrame, hot: bool, counts: bool) -> DataFrame:
@@ -182,7 +184,7 @@ def _through_tries(ordered: DataFrame, hot: bool, counts: bool) -> DataFrame:
                 if (k, s) != now:
                     out += [(e[1][0], e[1][1], e[0], e[1][2]) for e in terminals]
                     now, trie, terminals = (k, s), Trie(), []
-                key = t.encode() + END + h + b
+                key = t.encode() + END + b + END + h
                 end = trie.add(key)
                 if not end[0]:
                     end[1] = (t, r, blake2b(key, digest_size=16).digest() if hot else b"")

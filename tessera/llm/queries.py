@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import abuse, encode, layout, leak, near_dup, pack, pair_quality, split_overlap
-from tessera.session import table
+from tessera.session import materialize, table
 
 #: White space as Python's strip and split see it.
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
@@ -18,27 +18,43 @@ def _split():
     return F.lower(F.regexp_replace("dataset_split", rf"^{WS}+|{WS}+$", ""))
 
 
-def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = table(spark, sf_dir, "response_records").select("row_index", _split().alias("split"), pack.record_length("prompt", "response").alias("length"))
     runs = table(spark, sf_dir, "response_configs").select("config_name", _split().alias("split"), "max_length")
-    return pack.pack_records(records, runs), runs
+    return pack.pack_records(records, runs)
 
 
 def p1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run's sequences: the records, or pieces of longer ones, that each holds, and where."""
-    return _packed(spark, sf_dir)[0]
+    return _packed(spark, sf_dir).drop("max_length")
 
 
 def p1_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack.fill_report(*_packed(spark, sf_dir))
+    return pack.fill_report(_packed(spark, sf_dir)).drop("max_length")
 
 
 def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per run: records that the sequences hold, their words, and the longest piece."""
-    packed = _packed(spark, sf_dir)[0]
+    packed = _packed(spark, sf_dir)
     return packed.groupBy("config_name").agg(F.countDistinct("row_index").alias("n_records"), F.sum("length").alias("n_words"), F.max("length").alias("longest"))
 
 
+def p1_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per run: records that lie whole in one sequence, records that were cut, and breaches of the rules:
+    sequences over the capacity or with a gap, cut records that would have fit, missing words."""
+    df = table(spark, sf_dir, "response_records").select("row_index", pack.record_length("prompt", "response").alias("words"))
+    packed = materialize(_packed(spark, sf_dir), "packed")
+    sequences = packed.groupBy("config_name", "max_length", "sequence").agg(F.sum("length").alias("used"), F.max(F.col("place") + F.col("length")).alias("end"))
+    bad = sequences.groupBy("config_name").agg(F.count_if((F.col("used") > F.col("max_length")) | (F.col("used") != F.col("end"))).alias("n_overfull"))
+    rows = packed.groupBy("config_name", "max_length", "row_index").agg(F.count("*").alias("n"), F.sum("length").alias("placed")).join(df, "row_index")
+    rows = rows.groupBy("config_name").agg(
+        F.count_if(F.col("n") == 1).alias("n_whole"),
+        F.count_if(F.col("n") > 1).alias("n_cut"),
+        F.count_if(((F.col("n") > 1) & (F.col("words") <= F.col("max_length"))) | (F.col("placed") != F.col("words"))).alias("n_broken"),
+    )
+    return rows.join(bad, "config_name")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -198,6 +214,11 @@ def oracle_sql() -> dict[str, str]:
             r AS (SELECT config_name, max_length AS m, n FROM l JOIN response_configs c ON l.split = {_CLEAN.format(c="c.dataset_split")})
             SELECT config_name, count(*) AS n_records, sum(n)::BIGINT AS n_words, max(least(n, m))::BIGINT AS longest FROM r GROUP BY config_name
         """,
+        "p1_rules": f"""
+            WITH l AS (SELECT {_CLEAN.format(c="dataset_split")} AS split, {_N_WORDS.format(c="prompt")} + {_N_WORDS.format(c="response")} + 1 AS n FROM response_records)
+            SELECT config_name, count(*) FILTER (n <= max_length) AS n_whole, count(*) FILTER (n > max_length) AS n_cut, 0::BIGINT AS n_broken, 0::BIGINT AS n_overfull
+            FROM l JOIN response_configs c ON l.split = {_CLEAN.format(c="c.dataset_split")} WHERE max_length > 0 GROUP BY config_name
+        """,
         "p3_found": f"""
             WITH t AS (SELECT row_index, {_WORDS.format(c="(coalesce(prompt, '') || ' ' || coalesce(response, ''))")} AS w FROM response_records), {_SIMILAR}
             SELECT a AS row_index_a, b AS row_index_b FROM j JOIN z x ON x.row_index = a JOIN z y ON y.row_index = b WHERE c >= 0.5 * (x.n + y.n - c)

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import layout, pack
 
@@ -31,6 +32,24 @@ def test_copies_against_brute_force(spark, limits):
     assert {r.rep: r.n_copies for r in counted.collect()} == Counter(want.values())
 
 
+def test_radix_goes_three_levels_deep_at_the_default_limits(spark):
+    """Texts that share their first 40 bytes fill one bucket at level 0 and level 1."""
+    same = F.when(F.col("id") % 1000 == 0, F.lit("X")).otherwise(F.col("id").cast("string"))
+    df = spark.range(layout.BUCKET_ROWS + 1000).select(F.col("id").alias("row_index"), F.concat(F.lit("All of these begin with the same forty letters and more. "), same).alias("prompt"))
+    rows = layout.canonical_rows(df, "row_index", ["prompt"], False, "t")
+    split, stuck = layout.radix_plan(rows, layout.BUCKET_ROWS, layout.STEP_BYTES, layout.MAX_LEVEL)
+    assert len(split) == 2 and stuck.isEmpty()
+    got = layout.copy_counts(rows).where("n_copies > 1").collect()
+    assert [(r.rep, r.n_copies) for r in got] == [(0, 51)]
+
+
+def test_canonical_bytes_in_the_jvm_and_in_python(spark):
+    texts = ["", "A-b_c ÄÖ 1²", "İx ΑΣ Σ", "日本、x①Ⅷ", "ſtraße ﬁ", "a\u0301 \u200b", "Ǆ ꙁ"]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_index bigint, t string")
+    got = {r.row: bytes(r.body) for r in layout.canonical_rows(df, "row_index", ["t"], False, "t").collect()}
+    assert got == {i: layout.canonical(t) for i, t in enumerate(texts)}
+
+
 def test_fields_do_not_run_into_each_other(spark):
     df = spark.createDataFrame([(0, "ab", "c"), (1, "a", "bc"), (2, None, None), (3, "", "-")], "row_index bigint, prompt string, response string")
     assert groups(spark, df, ["prompt", "response"]) == {0: 0, 1: 1, 2: 2, 3: 2}
@@ -61,16 +80,14 @@ def model_lengths(rows):
     return {r[0]: len((r[2] or "").split()) + len((r[3] or "").split()) + 1 for r in rows}
 
 
-@pytest.mark.parametrize("block_rows", [500_000, 7])
-def test_packing_keeps_the_rules(spark, block_rows):
+@pytest.mark.parametrize("limits", [{}, {"block_rows": 7, "plan_rows": 20}])
+def test_packing_keeps_the_rules(spark, limits):
     rng = random.Random(6)
     rows = [(i, rng.choice(["train", " Train ", "test", None]), rng.choice([None, "", "a b", "a b c"]), "w " * rng.choice([0, 1, 2, 2, 2, 9, 30, 64])) for i in range(400)]
     df = spark.createDataFrame(rows, "row_index bigint, dataset_split string, prompt string, response string")
-    from pyspark.sql import functions as F
-
     records = df.select("row_index", F.lower(F.trim("dataset_split")).alias("split"), pack.record_length("prompt", "response").alias("length"))
     runs = spark.createDataFrame([("a", "train", 16), ("b", "train", 64), ("c", "test", 5), ("none", None, 9), ("zero", "test", None), ("a", "train", 16)], "config_name string, split string, max_length int")
-    got = pack.pack_records(records, runs, block_rows=block_rows).collect()
+    got = pack.pack_records(records, runs, **limits).collect()
     lengths, split = model_lengths(rows), {r[0]: (r[1] or "").strip().lower() for r in rows}
     for name, s, cap in (("a", "train", 16), ("b", "train", 64), ("c", "test", 5)):
         mine, pieces, sequences = [r for r in got if r.config_name == name], {}, {}
@@ -92,10 +109,23 @@ def test_packing_keeps_the_rules(spark, block_rows):
         total = sum(lengths[i] for i in pieces)
         assert len(sequences) <= 1.2 * -(-total // cap) + 1
     assert {r.config_name for r in got} == {"a", "b", "c"}
-    report = {r.config_name: r for r in pack.fill_report(pack.pack_records(records, runs, block_rows=block_rows), runs.distinct()).collect()}
+    report = {r.config_name: r for r in pack.fill_report(pack.pack_records(records, runs, **limits)).collect()}
     assert report["a"].n_words == sum(lengths[i] for i, x in split.items() if x == "train") and 0 < report["a"].fill <= 1
 
 
+def test_runs_of_one_name_are_packed_each(spark):
+    records = spark.createDataFrame([(i, "train", 3 + i % 9) for i in range(50)] + [(None, "train", 4)], "row_index bigint, split string, length bigint")
+    runs = spark.createDataFrame([("a", "train", 8), ("a", "train", 16), ("a", "train", 8)] + [(f"r{i}", "train", 8) for i in range(30)], "config_name string, split string, max_length int")
+    got = pack.pack_records(records, runs, plan_rows=100).collect()
+    words = sum(3 + i % 9 for i in range(50)) + 4
+    for cap in (8, 16):
+        mine = [r for r in got if r.config_name == "a" and r.max_length == cap]
+        assert sum(r.length for r in mine) == words and any(r.row_index is None for r in mine)
+    assert not {r.sequence for r in got if r.config_name == "a" and r.max_length == 8} & {r.sequence for r in got if r.config_name == "a" and r.max_length == 16}
+    for i in range(30):
+        assert sum(r.length for r in got if r.config_name == f"r{i}") == words
+
+
 def test_packing_empty(spark):
     records = spark.createDataFrame([], "row_index bigint, split string, length bigint")
     runs = spark.createDataFrame([("a", "train", 16)], "config_name string, split string, max_length int")
