@@ -30,15 +30,17 @@ from tessera.session import spread
 BUCKETS, MIN_GRAMS = 1 << 16, 1_000
 #: Buckets of the end-of-text model: many, as a rare tail must not share one with a frequent one.
 END_BUCKETS = 1 << 22
-#: A language is told only from so many words, and by such a log-likelihood lead per character.
-LANGUAGE_WORDS, LANGUAGE_LEAD = 4, 0.5
+#: Fewer words may be a name; a language is another by such a lead in log posterior, in all and per n-gram.
+LANGUAGE_WORDS, LANGUAGE_ODDS, LANGUAGE_LEAD = 4, 12.0, 0.5
 #: An end seen more rarely than this among its n-gram's occurrences is a break.
 END_RATE, END_PRIOR = 0.02, 0.5
 #: So is an unmarked prose end whose n-gram ends texts without a mark more often than so many times the
 #: share of such ends among all prose ends (the share of an n-gram that only ends texts), or nearly always.
 UNMARKED_LIFT, UNMARKED_MOST = 10, 0.9
-#: Answers of at most so many words need no end mark.
+#: Answers of at most so many words may be a name or a single word, and need no end mark.
 SHORT = 3
+#: Prompts whose language a task remembers.
+CACHE = 50_000
 
 # Placeholders of a missing answer, by their letters and digits.
 PLACEHOLDERS = {
@@ -47,6 +49,11 @@ PLACEHOLDERS = {
     "keineantwort", "sinrespuesta", "pasderéponse", "aucuneréponse", "ninguna", "leer", "vacío", "vide", "response", "answer", "placeholder",
 }
 
+# What is missing, that it is missing, and words around it, in placeholders of any length.
+MISSING_WHAT = set("answer answers response responses reply output content text result completion antwort inhalt ausgabe respuesta contenido salida réponse contenu sortie risposta contenuto resposta conteúdo".split())
+MISSING_THAT = set("no not none missing without empty blank unavailable absent pending omitted removed deleted withheld fehlt fehlend fehlende keine kein nicht leer leere ohne entfernt sin falta faltante ninguna ningún vacía vacío eliminada pas aucune aucun manquante manquant vide sans supprimée nessuna mancante vuota senza nenhuma ausente vazia sem".split())
+MISSING_AROUND = set("was were is are has have been be provided given available found recorded supplied returned generated received yet here for this the a an to in prompt question wurde ist angegeben vorhanden gegeben verfügbar die der das eine hier la el una un fue está disponible proporcionada dada aquí le une donnée fournie disponible ici de pour cette è stata fornita qui foi fornecida aqui".split())
+
 # Openings of a refusal, in lower case with plain apostrophes.
 REFUSAL = re.compile(
     r"as an? (?:ai|language|artificial|large)\b.{0,40}\b(?:not able|cannot|can't|unable|won't|not allowed|not permitted)\b"
@@ -93,10 +100,12 @@ LANGUAGE_NAMES = {
     "nl": "dutch niederländisch neerlandés holandés néerlandais",
     "pl": "polish polnisch polaco polonais",
 }
+_PLACEHOLDER_STARTS = {p for x in PLACEHOLDERS for p in (x[:n] for n in range(1, len(x) + 1))}
 _NAMED = {name: code for code, names in LANGUAGE_NAMES.items() for name in names.split()}
 WRAP = "\"'`´*_~()[]<>«»‹›“”„‚‘’ \t\r\n ​‌‍﻿　"
 ITEM = re.compile(r"\s*(?:[-*•+–]|\d{1,3}[.)])\s+")
 SENTENCE = re.compile(r"(?<=[.!?。！？…])[\s\"'”»)]+")
+LETTERS = re.compile(r"[^\W\d_]+")
 CODE = re.compile(r"```.*?(?:```|$)", re.S)
 FINAL = ".!?。！？؟"
 #: Marks after which a text goes on.
@@ -125,7 +134,8 @@ def language_code(col):
 
 
 def language_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """(languages, log probabilities [bucket, language]) counted over all labelled documents."""
+    """(languages, log probabilities [bucket, language]) counted over all labelled documents; the last
+    row has the log priors, the languages' shares of all n-grams."""
     tagged = docs.select(language_code(F.col(lang_col)).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     # At most 26 * 26 codes exist.
     langs = sorted(r.lang for r in tagged.select("lang").distinct().collect())
@@ -149,17 +159,25 @@ def language_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     counts = counts.reshape(len(langs), BUCKETS)
     enough = counts.sum(axis=1) >= MIN_GRAMS
     langs, counts = [x for x, ok in zip(langs, enough, strict=True) if ok], counts[enough] + 0.1
-    return langs, np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32).copy()
+    of = counts.sum(axis=1, keepdims=True)
+    return langs, np.log(np.concatenate([counts / of, of / of.sum()], axis=1)).T.astype(np.float32).copy()
 
 
-def language_of(text: str, langs: list[str], table: np.ndarray) -> tuple[str | None, float]:
-    """The likeliest language and its log-likelihood lead per n-gram over the second."""
+def posteriors(text: str, table: np.ndarray) -> tuple[np.ndarray, int]:
+    """Log posterior odds of every language up to a common term, and the number of n-grams."""
     g = grams(text)
-    if not len(g) or len(langs) < 2:
+    return table[g].sum(axis=0) + table[-1], len(g)
+
+
+def language_of(text: str, langs: list[str], table: np.ndarray) -> tuple[str | None, float]:
+    """The likeliest language and its lead in log posterior per n-gram over the second."""
+    if len(langs) < 2:
+        return None, 0.0
+    score, n = posteriors(text, table)
+    if not n:
         return None, 0.0
-    score = table[g].sum(axis=0)
     order = np.argsort(score)
-    return langs[order[-1]], float(score[order[-1]] - score[order[-2]]) / len(g)
+    return langs[order[-1]], float(score[order[-1]] - score[order[-2]]) / n
 
 
 # ---- end-of-text model --------------------------------------------------------------------------
@@ -293,23 +311,24 @@ def end_model(answers: list[DataFrame]) -> np.ndarray:
 # ---- the tests ----------------------------------------------------------------------------------
 
 
-def is_empty(answer: str | None) -> bool:
-    """Null, or nothing but blanks, marks or a placeholder."""
-    if answer is None:
+def is_empty(answer: str | None, found: list[str]) -> bool:
+    """Null, or nothing but blanks, marks or a placeholder: ``found`` are the answer's words."""
+    if answer is None or not found:
         return True
-    found = WORD.findall(answer.lower())
-    if not found:
-        return True
-    if len(found) > 4:
+    first = found[0]
+    if first not in _PLACEHOLDER_STARTS and first not in MISSING_WHAT and first not in MISSING_THAT and first not in MISSING_AROUND:
         return False
     plain = "".join(found)
-    return plain in PLACEHOLDERS and (plain not in ("response", "answer", "na") or not answer.strip().isalpha())
+    if plain in PLACEHOLDERS:
+        return plain not in ("response", "answer", "na") or not answer.strip().isalpha()
+    mine = set(found)
+    return bool(mine & MISSING_WHAT) and bool(mine & MISSING_THAT) and mine <= MISSING_WHAT | MISSING_THAT | MISSING_AROUND
 
 
-def is_copied(prompt_words: list[str], answer: str) -> bool:
+def is_copied(prompt_words: list[str], answer: str, w: list[str]) -> bool:
     """Nothing but the prompt's words from its first on, after an introduction of at most four words
     that ends in a colon, or repeated; the last word may be cut off."""
-    w, p = words(answer), prompt_words
+    p = prompt_words
     if len(w) < 3 or not p:
         return False
 
@@ -329,23 +348,27 @@ def is_copied(prompt_words: list[str], answer: str) -> bool:
     if copies(w):
         return True
     head, colon, tail = answer.partition(":")
+    if not colon:
+        return False
     n = len(WORD.findall(head))
     return bool(colon) and 1 <= n <= 4 and len(w) > n and copies(w[n:])
 
 
 def is_refusal(answer: str) -> bool:
-    """A refusal and at most courtesies after it."""
-    s = " ".join(answer.lower().replace("’", "'").replace("‘", "'").strip(WRAP).split())
-    if len(s) > 600:
-        return False
-    parts = [x.strip(WRAP) for x in SENTENCE.split(s)]
-    parts = [x for x in parts if WORD.search(x)]
-    if not parts or len(parts) > 5:
-        return False
-    first = next((i for i, x in enumerate(parts) if REFUSAL.match(x)), None)
-    if first is None or not all(COURTESY.match(x) or len(x.split()) <= 2 for x in parts[:first]):
-        return False
-    return all(COURTESY.match(x) or REFUSAL.match(x) or not WORD.search(x) for x in parts[first + 1 :]) and len(parts[first].split()) <= 40
+    """A refusal and nothing but courtesies before and after it, however long."""
+    s, refused = answer.lower().replace("’", "'").replace("‘", "'").strip(WRAP), False
+    at = 0
+    while at < len(s):
+        m = SENTENCE.search(s, at)
+        part = " ".join(s[at : m.start() if m else len(s)].split()).strip(WRAP)
+        at = m.end() if m else len(s)
+        if not WORD.search(part):
+            continue
+        if REFUSAL.match(part):
+            refused = True
+        elif not COURTESY.match(part) and (refused or part.count(" ") > 1):
+            return False
+    return refused
 
 
 def is_truncated(answer: str, prompt_words: list[str], rate: np.ndarray) -> bool:
@@ -388,18 +411,20 @@ def is_truncated(answer: str, prompt_words: list[str], rate: np.ndarray) -> bool
     return rate[tail_gram("text", last)] < END_RATE
 
 
-def is_other_language(answer: str, prompt: str, prompt_words: list[str], prompt_lang: tuple[str | None, float], langs: list[str], table: np.ndarray) -> bool:
-    """Written in another language than the prompt, which doesn't name that language."""
+def is_other_language(answer: str, prompt: str, prompt_words: set[str], prompt_lang: tuple[str | None, float], langs: list[str], table: np.ndarray) -> bool:
+    """Written in another language than the prompt, which doesn't name that language: by the posterior
+    odds of the two languages, of the answer's words that aren't the prompt's.  Up to three words may
+    be a name, which is a sound answer in any language."""
     if prompt_lang[0] is None or prompt_lang[1] < LANGUAGE_LEAD / 4:
         return False
-    known = set(prompt_words)
-    plain = CODE.sub(" ", answer)
-    own = [w for w in (re.sub(r"\d+", "", w) for w in words(plain) if w not in known) if w]
-    letters = sum(map(len, own))
-    if letters < 12 or (len(own) < LANGUAGE_WORDS and not any(ord(c) > 0x2E80 for w in own for c in w)):
+    plain = CODE.sub(" ", answer) if "```" in answer else answer
+    own = [w for w in LETTERS.findall(plain.lower()) if w not in prompt_words]
+    if len(own) < LANGUAGE_WORDS and not any(ord(c) > 0x2E80 for w in own for c in w):
         return False
-    lang, lead = language_of(" ".join(own), langs, table)
-    if lang is None or lang == prompt_lang[0] or lead < LANGUAGE_LEAD:
+    score, n = posteriors(" ".join(own), table)
+    best = int(np.argmax(score))
+    lang = langs[best]
+    if lang == prompt_lang[0] or score[best] - score[langs.index(prompt_lang[0])] < max(LANGUAGE_ODDS, LANGUAGE_LEAD * n):
         return False
     low = prompt.lower()
     asked = {_NAMED[w] for w in prompt_words if w in _NAMED} | {c for n, c in _NAMED.items() if ord(n[0]) > 0x2E80 and n in low}
@@ -416,25 +441,31 @@ def find_defects(df: DataFrame, row_col: str, prompt_col: str, answer_cols: list
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lm, rate = language.value, ends.value
+        spoken: dict[str, tuple[str | None, float]] = {}
         for batch in batches:
             rows, fields, defects = [], [], []
             cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
             for row, prompt, *answers in zip(*cols, strict=True):
                 prompt = prompt or ""
                 pw = words(prompt)
-                pl = None
+                pl = known = None
                 for name, a in zip(answer_cols, answers, strict=True):
-                    if is_empty(a):
+                    aw = words(a)
+                    if is_empty(a, aw):
                         d = "empty"
-                    elif is_copied(pw, a):
+                    elif is_copied(pw, a, aw):
                         d = "copied"
                     elif is_refusal(a):
                         d = "refusal"
                     else:
                         if pl is None:
-                            pl = language_of(prompt, langs, lm)
+                            pl, known = spoken.get(prompt), set(pw)
+                            if pl is None:
+                                if len(spoken) >= CACHE:
+                                    spoken.clear()
+                                pl = spoken[prompt] = language_of(prompt, langs, lm)
                         d = None
-                        if is_other_language(a, prompt, pw, pl, langs, lm):
+                        if is_other_language(a, prompt, known, pl, langs, lm):
                             d = "language"
                         elif is_truncated(a, pw, rate):
                             d = "truncated"

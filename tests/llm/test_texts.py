@@ -85,12 +85,12 @@ def test_pair_defects(spark):
     sound = "They are in the house because it is warm there and they have been there for a long time."
     german = "Die Katze und der Hund sind in dem Haus weil es dort warm ist und nicht kalt."
     cases = [
-        (None, "empty"), ("", "empty"), (" ​﻿", "empty"), ("—", "empty"), ("N/A", "empty"), ("(no answer)", "empty"), ("None", "empty"), ("```\n```", "empty"),
+        (None, "empty"), ("", "empty"), (" ​﻿", "empty"), ("—", "empty"), ("N/A", "empty"), ("No answer was provided.", "empty"), ("[Antwort fehlt]", "empty"), ("No text is missing in the house.", None), ("(no answer)", "empty"), ("None", "empty"), ("```\n```", "empty"),
         (sound, None), ("Yes", None), ("42.5 metres", None), ("Napoleon", None), ("- red house\n- blue house", None), ("```python\nprint(1)\n```", None), ('{"a": [1, 2]}', None),
         (f'You asked: "{prompt}". {sound}', None), ("I'm sorry for the wait. " + sound, None),
         (prompt, "copied"), (prompt.upper(), "copied"), (f"Question: {prompt}", "copied"), (prompt[:60], "copied"), (f"{prompt} {prompt}", "copied"),
         ("I'm sorry, but I can't help with that.", "refusal"), ("I’m unable to provide information on this. Take care.", "refusal"), ("Lo siento, pero no puedo ayudar con eso.", "refusal"),
-        ("Es tut mir leid, aber dabei kann ich nicht helfen.", "refusal"), ("Je préfère ne pas répondre.", "refusal"),
+        ("Es tut mir leid, aber dabei kann ich nicht helfen.", "refusal"), ("Je préfère ne pas répondre.", "refusal"), ("I'm sorry, but I can't help with that. " + "Thank you for asking. " * 40, "refusal"),
         ("They are in the house because it is warm there and they have,", "truncated"), ("They are in the house because the other …", "truncated"),
         ("They are in the house.\n```python\ndef f(x):\n    retu", "truncated"), ('{"a": [1, 2', "truncated"),
         (german, "language"),
