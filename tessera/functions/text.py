@@ -14,6 +14,12 @@ WS = r"[\s\x1c-\x1f\x85\p{Z}]"
 NOT_WS = r"[^\s\x1c-\x1f\x85\p{Z}]"
 
 
+def utc_iso(c: Column) -> Column:
+    """A time in UTC as ISO 8601 text; a fraction only where there is one.  The session's zone is UTC."""
+    fraction = F.date_format(c, "SSSSSS")
+    return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction == "000000", "").otherwise(F.concat(F.lit("."), fraction)), F.lit("+00:00"))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
 

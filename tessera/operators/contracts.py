@@ -7,7 +7,7 @@ order is computed as an aggregate, and raised on the driver by ``require_valid``
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +42,6 @@ class PreferenceFields:
     metadata: str | None = "metadata"
     split: str = "train"
     row_index: str = "row_index"
-    extra: tuple[str, ...] = field(default=())
 
     def required(self) -> set[str]:
         return {self.prompt, self.chosen, self.rejected} | {c for c in (self.id, self.metadata) if c is not None}
@@ -140,9 +139,12 @@ def duplicate_ids(df: DataFrame, id_col: Column, order: Column) -> DataFrame:
     A minimum by id is combined before the shuffle, so one frequent id is no hot spot, unlike a
     window over it; rows meet their id's minimum by a join that splits skewed keys.  Of rows that
     are equal in id and order, all but the first in source order count; null ids never do."""
-    keyed = df.withColumn("__id", id_col).withColumn("__order", order)
-    first = keyed.where("__id IS NOT NULL").groupBy("__id").agg(F.min("__order").alias("__first"))
-    return keyed.join(first, "__id", "left").withColumn("duplicate", F.coalesce(F.col("__order") > F.col("__first"), F.lit(False))).drop("__id", "__order", "__first")
+    keyed = df.withColumn("__order", order).withColumn("__none", id_col.isNull())
+    # Rows without an id have keys of their own, so that they spread over the tasks of the join.
+    keyed = keyed.withColumn("__id", F.coalesce(id_col.cast("string"), F.col("__order").cast("string")))
+    first = keyed.where("NOT __none").groupBy("__id", "__none").agg(F.min("__order").alias("__first"))
+    late = F.coalesce(F.col("__order") > F.col("__first"), F.lit(False))
+    return keyed.join(first, ["__id", "__none"], "left").withColumn("duplicate", late).drop("__id", "__none", "__order", "__first")
 
 
 def check_rows(df: DataFrame, fields: Fields, limit: int | None = None) -> DataFrame:
@@ -179,7 +181,12 @@ def summary(df: DataFrame, checked: DataFrame) -> DataFrame:
 
 def canonical(df: DataFrame, fields: Fields) -> DataFrame:
     """Sound rows under canonical names, values unchanged."""
-    checked = check_rows(df, fields).where(F.col("violation").isNull())
+    return renamed(check_rows(df, fields), fields)
+
+
+def renamed(checked: DataFrame, fields: Fields) -> DataFrame:
+    """Sound rows of ``check_rows`` under canonical names."""
+    df, checked = checked, checked.where(F.col("violation").isNull())
     meta = F.col(fields.metadata) if fields.metadata is not None else F.create_map().cast("map<string,string>")
     if isinstance(fields, ResponseFields):
         values = [F.col(fields.prompt).alias("prompt"), F.col(fields.response).alias("response")]
@@ -203,3 +210,35 @@ def require_valid(df: DataFrame, fields: Fields, limit: int | None = None) -> No
     """Raises the first violation in source order; one job."""
     for r in first_violation(check_rows(df, fields, limit), fields.row_index).collect():  # at most one row
         raise ContractError(f"row {r.row_index}: {r.code}")
+
+
+# ---- rows that mix formats -----------------------------------------------------------------------
+
+
+def variant_format(v: Column) -> Column:
+    """Format of a value of a JSON row, decided by the value: as ``value_format``, null where it is absent."""
+    kind = F.schema_of_variant(v)
+    messages = kind.startswith("ARRAY<OBJECT<") & kind.contains("content: STRING") & kind.contains("role: STRING")
+    return F.when(v.isNull() | (kind == "VOID"), F.lit(None)).when(kind == "STRING", "standard").when(messages, "conversational").otherwise("unsupported")
+
+
+def json_formats(df: DataFrame, payload: str, row_index: str = "row_index", names: tuple[str, str, str] = ("prompt", "chosen", "rejected")) -> DataFrame:
+    """(row_index, format, violation) of preference rows kept as JSON text, whose values may be text in
+    one row and messages in the next.  A row's violation is ``unreadable``, the first absent or
+    unsupported value, ``mixed_formats`` within the row, or ``dataset_format`` where its format is not
+    that of the first sound row in source order."""
+    parsed = df.select(F.col(row_index).alias("row_index"), F.try_parse_json(F.col(payload)).alias("v"))
+    of = parsed.select("row_index", F.col("v").isNull().alias("unreadable"), *(variant_format(F.variant_get("v", f"$.{n}", "variant")).alias(f"f{i}") for i, n in enumerate(names)))
+    found = [F.col(f"f{i}") for i in range(3)]
+    bad = [F.when(F.coalesce(f, F.lit("unsupported")) == "unsupported", n) for f, n in zip(found, names, strict=True)]
+    mixed = F.when((found[0] != found[1]) | (found[1] != found[2]), "mixed_formats")
+    rows = of.select("row_index", found[0].alias("format"), F.coalesce(F.when(F.col("unreadable"), "unreadable"), *bad, mixed).alias("violation"))
+    first = rows.where("violation IS NULL").agg(F.min_by("format", "row_index").alias("__first"))  # one row
+    other = F.when(F.col("format") != F.col("__first"), "dataset_format")
+    return rows.crossJoin(F.broadcast(first)).select("row_index", F.when(F.col("violation").isNull(), F.col("format")).alias("format"), F.coalesce("violation", other).alias("violation"))
+
+
+def missing_columns(df: DataFrame, wanted: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, column): the columns wanted, by key, that ``df`` doesn't have; null ones aren't wanted."""
+    have = df.sparkSession.createDataFrame([(c,) for c in df.columns], f"{column} string")
+    return wanted.where(F.col(column).isNotNull()).select(key, column).distinct().join(F.broadcast(have), column, "left_anti").select(key, column)

@@ -28,6 +28,19 @@ def distillation_loss(losses: DataFrame, batch: str, temperature: float, alpha:
     return out.withColumn("loss", alpha * F.col("hard_loss") + (1 - alpha) * F.col("soft_loss"))
 
 
+def require_supervised(df: DataFrame, losses: DataFrame, batch: str) -> None:
+    """Raises the least batch without a supervised token."""
+    for r in empty_batches(df, losses, batch).agg(F.min(batch).alias("b")).where("b IS NOT NULL").collect():  # at most one row
+        raise ValueError(f"batch {r.b} has no supervised token")
+
+
+def preference_loss(policy_chosen: Column, policy_rejected: Column, reference_chosen: Column, reference_rejected: Column, beta: float) -> Column:
+    """Sigmoid preference loss over stored log-probabilities: -ln(sigmoid(beta * margin)), computed
+    without overflow."""
+    x = F.lit(float(beta)) * ((policy_chosen - policy_rejected) - (reference_chosen - reference_rejected))
+    return F.log1p(F.exp(-F.abs(x))) + F.greatest(-x, F.lit(0.0))
+
+
 def empty_batches(df: DataFrame, losses: DataFrame, batch: str) -> DataFrame:
     """Batches without a supervised token: an error of the run, to be raised by the caller."""
     return df.select(batch).distinct().join(losses.select(batch).distinct(), batch, "left_anti")

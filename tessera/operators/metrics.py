@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import f1_of, is_text, normalize_text, strip, token_f1, ws_tokens
@@ -55,7 +55,10 @@ def token_f1_by_id(pairs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def comparisons(metrics: DataFrame, baseline: str, columns: tuple[str, ...] = METRICS[:4]) -> DataFrame:
-    """Every other model minus the baseline.  The baseline is one row, joined by broadcast."""
-    base = metrics.where(F.col("model") == baseline).select(F.col("model").alias("baseline"), *(F.col(c).alias(f"__{c}") for c in columns)).limit(1)
-    others = metrics.where(F.col("model") != baseline)
-    return others.crossJoin(F.broadcast(base)).select("baseline", "model", *((F.col(c) - F.col(f"__{c}")).alias(f"{c}_delta") for c in columns))
+    """Every other model minus the baseline, in one pass: the metrics are one row a model, so the
+    baseline's are found by a window over all of them.  Without the baseline there is no row."""
+    over = Window.partitionBy(F.lit(1))
+    is_base = F.col("model") == baseline
+    rows = metrics.select("model", *columns, F.max(is_base).over(over).alias("__any"), *(F.max(F.when(is_base, F.col(c))).over(over).alias(f"__{c}") for c in columns))
+    rows = rows.where(~is_base & F.col("__any"))
+    return rows.select(F.lit(baseline).alias("baseline"), "model", *((F.col(c) - F.col(f"__{c}")).alias(f"{c}_delta") for c in columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPECIAL_KEYS = {"added_tokens": list, "special_tokens": dict, "bos_token": str, "eos_token": str, "pad_token": str, "unk_token": str}
@@ -79,3 +79,33 @@ def require_compatible(spark: SparkSession, teacher_path: str, student_path: str
     reason = check_tokenizers(spark, teacher_path, student_path)
     if reason != "compatible":
         raise ValueError(f"tokenizers differ: {reason} (teacher={teacher_path}, student={student_path})")
+
+
+# ---- payloads as data ----------------------------------------------------------------------------
+
+
+def payload_vocab(df: DataFrame, payload: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keep..., token, id) of JSON payloads: of ``model.vocab`` where it is an object, else of ``vocab``."""
+    as_map = lambda path: F.from_json(F.get_json_object(payload, path), "map<string,bigint>")
+    return df.select(*keep, F.explode(F.coalesce(as_map("$.model.vocab"), as_map("$.vocab"))).alias("token", "id"))
+
+
+def payload_specials(payload: str) -> Column:
+    """Special tokens of a JSON payload as one text: those whose value has its type, names sorted, the
+    order of added tokens kept."""
+    v, parts = F.try_parse_json(F.col(payload)), []
+    starts = {list: "ARRAY", dict: "OBJECT", str: "STRING"}
+    for name in sorted(SPECIAL_KEYS):
+        value = F.variant_get(v, f"$.{name}", "variant")
+        parts.append(F.when(F.schema_of_variant(value).startswith(starts[SPECIAL_KEYS[name]]), F.concat(F.lit(f'"{name}":'), F.to_json(value))))
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+
+def gate_of(pairs: DataFrame, teacher: str, student: str, key: str) -> DataFrame:
+    """(key, reason) of pairs of JSON payloads, all pairs at once: see ``gate``."""
+    sides = [payload_vocab(pairs, c, (key,)).withColumnRenamed("id", f"{n}_id") for n, c in (("t", teacher), ("s", student))]
+    both = sides[0].join(sides[1], [key, "token"], "full_outer").where(~F.col("t_id").eqNullSafe(F.col("s_id")))
+    different = both.groupBy(key).agg(F.count("*").alias("__n"))
+    same = payload_specials(teacher).eqNullSafe(payload_specials(student))
+    rows = pairs.select(key, same.alias("__same")).join(different, key, "left")
+    return rows.select(key, F.when(F.col("__n") > 0, "vocab_mismatch").when(~F.col("__same"), "special_tokens_mismatch").otherwise("compatible").alias("reason"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import contracts, encoding, kernels, metrics, sampling, vocab
 from tessera.operators.contracts import PreferenceFields, ResponseFields
+from tessera.session import materialize
 from tessera.sources import models, registry, sinks
 from tessera.sources.config import Settings
 
@@ -111,13 +112,22 @@ def _limited(df: DataFrame, limit: int | None) -> DataFrame:
     return sampling.prefix_limit(numbered, limit, "position").drop("position", "__all")
 
 
+def _valid_rows(df: DataFrame, fields: contracts.Fields, limit: int | None) -> DataFrame:
+    """The training prefix of canonical rows.  The source is checked once, as a whole: its checked rows
+    are written, then looked at for the first violation."""
+    checked = materialize(contracts.check_rows(df, fields), "checked")
+    for r in contracts.first_violation(checked, fields.row_index).collect():  # at most one row
+        raise contracts.ContractError(f"row {r.row_index}: {r.code}")
+    return _limited(contracts.renamed(checked, fields), limit)
+
+
 def response_training_set(df: DataFrame, data: Settings, formatting: Settings, settings: Settings, tokenizer: encoding.Tokenizer, max_train_samples: int | None = None) -> DataFrame:
     """(input_ids, attention_mask, labels) of a response or logit run: checked, limited, encoded.
     An explicit ``max_train_samples`` beats the configured one."""
-    fields = response_fields(data)
-    contracts.require_valid(df, fields)
-    rows = contracts.canonical(_limited(df, settings.max_train_samples if max_train_samples is None else max_train_samples), fields)
+    rows = _valid_rows(df, response_fields(data), settings.max_train_samples if max_train_samples is None else max_train_samples)
     encoded = encoding.encode_records(rows, tokenizer, settings.max_length, formatting.mode, formatting.system_prompt)
+    if formatting.mode == "chat":
+        encoded = materialize(encoded, "encoded")
     if formatting.mode == "chat" and not encoded.where("NOT stable").isEmpty():
         raise ValueError("the chat template doesn't keep the prompt as a prefix of the conversation")
     return encoded.select("input_ids", "attention_mask", "labels")
@@ -125,10 +135,8 @@ def response_training_set(df: DataFrame, data: Settings, formatting: Settings, s
 
 def preference_training_set(df: DataFrame, data: Settings, settings: Settings, max_train_samples: int | None = None) -> DataFrame:
     """(prompt, chosen, rejected) of a preference run."""
-    fields = preference_fields(data)
-    contracts.require_valid(df, fields)
     limit = settings.max_train_samples if max_train_samples is None else max_train_samples
-    return contracts.canonical(_limited(df, limit), fields).select("prompt", "chosen", "rejected")
+    return _valid_rows(df, preference_fields(data), limit).select("prompt", "chosen", "rejected")
 
 
 def evaluation_samples(df: DataFrame, data: Settings, limit: int, seed: int) -> DataFrame:
@@ -146,13 +154,22 @@ def evaluate(samples: DataFrame, predictions: DataFrame, scores: DataFrame, base
     ``predictions`` is (model, id, prediction), ``scores`` (model, id, chosen, rejected), the
     completions' log-probabilities."""
     pairs = metrics.samples_with_predictions(samples.select("id", "reference"), predictions)
-    wins = scores.groupBy("model").agg(kernels.win_rate(F.col("chosen"), F.col("rejected")).alias("preference_accuracy"))
-    result = metrics.metrics_by_model(pairs).join(wins, "model", "left")
+    wins = scores.groupBy("model").agg(F.count("*").alias("preference_pairs"), kernels.win_rate(F.col("chosen"), F.col("rejected")).alias("preference_accuracy"))
+    result = materialize(metrics.metrics_by_model(pairs).join(wins, "model", "left"), "metrics")  # one row a model
     return result, metrics.comparisons(result, baseline, (*metrics.METRICS[:4], "preference_accuracy"))
 
 
+def preference_records(df: DataFrame, data: Settings, limit: int, seed: int) -> DataFrame:
+    """The seeded sample of preference records, checked and under canonical names."""
+    fields = preference_fields(data, metadata=False)
+    chosen = sampling.seeded_sample(df, limit, seed)
+    contracts.require_valid(chosen, fields)
+    return contracts.canonical(chosen, fields)
+
+
 def run_evaluation(spark: SparkSession, config: Settings, predictions: DataFrame, scores: DataFrame, limit: int | None = None) -> dict[str, Any]:
-    """Samples, metrics, comparisons, and both sinks."""
+    """Samples of both datasets, metrics, comparisons, and both sinks.  Scores count of the sampled
+    preference records only, by their id."""
     g = config.generation
     n = g.limit if limit is None else limit
     if n <= 0:
@@ -160,8 +177,19 @@ def run_evaluation(spark: SparkSession, config: Settings, predictions: DataFrame
     samples = evaluation_samples(load(spark, config.data), config.data, n, g.seed)
     named = [m.name for m in config.models]
     chosen = predictions.where(F.col("model").isin(named))
-    result, compared = evaluate(samples, chosen, scores.where(F.col("model").isin(named)), named[0])
-    out = sinks.evaluation_results(result, compared)
+    records = materialize(preference_records(load(spark, config.preference_data), config.preference_data, n, g.seed).select("id"), "preference-sample")
+    n_pairs, examples = records.count(), samples.count()
+    if not n_pairs:
+        raise ValueError("preference data must have at least one row")
+    scored = scores.where(F.col("model").isin(named)).join(F.broadcast(records), "id")
+    result, compared = evaluate(samples, chosen, scored, named[0])
+    out = {
+        "dataset_id": config.data.dataset_id,
+        "dataset_split": config.data.dataset_split,
+        "examples": examples,
+        "preference_pairs": n_pairs,
+        "results_path": config.output.results_path,
+    } | sinks.evaluation_results(result, compared, {m.name: m.model_name_or_path for m in config.models}, config.output.predictions_dir)
     rows = metrics.unique_predictions(chosen).join(samples, "id").withColumn("prediction", F.coalesce("prediction", F.lit("")))
     sinks.write_predictions(rows, config.output.predictions_dir)
     sinks.write_results(config.output.results_path, out)

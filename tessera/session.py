@@ -49,12 +49,15 @@ def spread(df: DataFrame) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (``spark.checkpoint.dir``).
 
-    Only where the setting is absent (tests, local mode) a private folder is made and set.
+    Where the setting is absent a private folder is made and set, in local mode only: elsewhere the
+    executors have no folder of one machine in common.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         sc = spark.sparkContext
         if not sc._jsc.sc().getCheckpointDir().isDefined():
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tessera-"))
         path = sc._jsc.sc().getCheckpointDir().get()
     return path.rstrip("/")

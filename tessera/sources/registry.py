@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 Loader = Callable[[SparkSession, str, str | None], DataFrame]
 _LOADERS: dict[str, Loader] = {}
+#: Files of a source whose names are broadcast; of more, rows are joined with them by a shuffle.
+MAX_FILES = 1_000_000
 FORMATS = {".parquet": "parquet", ".json": "json", ".jsonl": "json", ".ndjson": "json", ".csv": "csv", ".orc": "orc"}
 
 
@@ -23,13 +25,15 @@ def register(dataset_id: str, loader: Loader) -> None:
 
 def with_row_index(df: DataFrame) -> DataFrame:
     """Adds ``row_index`` to a Parquet scan unless it is there: files in the order of their paths,
-    rows in the order of their file.  Only file names and counts are shuffled."""
+    rows in the order of their file.  Only file names and counts are shuffled; they are broadcast, up to
+    ``MAX_FILES`` of them."""
     if "row_index" in df.columns:
         return df
     rows = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
     sizes = rows.groupBy("__file").agg(F.count("*").alias("__n"))
     before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     starts = sizes.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    starts = F.broadcast(starts) if len(df.inputFiles()) <= MAX_FILES else starts
     return rows.join(starts, "__file").withColumn("row_index", F.col("__at") + F.col("__start")).drop("__file", "__at", "__start")
 
 

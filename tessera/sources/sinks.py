@@ -31,6 +31,16 @@ def write_results(path: str, results: dict) -> None:
     p.write_text(json.dumps(results, indent=2, sort_keys=True, ensure_ascii=False) + "\n", encoding="utf-8")
 
 
-def evaluation_results(metrics: DataFrame, comparisons: DataFrame) -> dict:
-    """Models and comparisons as nested records; one row a model."""
-    return {"models": [r.asDict() for r in metrics.orderBy("model").collect()], "comparisons": [r.asDict() for r in comparisons.orderBy("model").collect()]}
+def evaluation_results(metrics: DataFrame, comparisons: DataFrame, models: dict[str, str], predictions_dir: str) -> dict:
+    """Models and comparisons as nested records in the configured order; ``models`` is their names and
+    references.  A model without a row has no predictions and is left out."""
+    rows = {r.model: r.asDict() for r in metrics.collect()}  # one row a model
+    deltas = {r.model: r.asDict() for r in comparisons.collect()}
+    out = []
+    for name, reference in models.items():
+        if name in rows:
+            r = rows[name]
+            pairs, accuracy = r.pop("preference_pairs"), r.pop("preference_accuracy")
+            r.pop("model")
+            out.append({"name": name, "model_name_or_path": reference, "predictions_path": f"{predictions_dir}/model={name}", "metrics": r, "preference_pairs": pairs, "preference_accuracy": accuracy})
+    return {"models": out, "comparisons": [deltas[n] for n in models if n in deltas]}

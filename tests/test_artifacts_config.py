@@ -14,10 +14,10 @@ def test_stage_pack_unpack_verify(spark, tmp_path):
     (tmp_path / "run" / "config.json").write_text("{}")
     (tmp_path / "run" / "empty.txt").write_text("")
     done = A.stage(spark, "r", ["run/config.json"], ["run/*", "run/*.json"], "staged", str(tmp_path))
-    assert (done.file_count, done.total_bytes) == (2, 2)
+    assert done.totals == {"run_name": "r", "file_count": 2, "total_bytes": 2}
     A.pack(str(tmp_path / "staged"), str(tmp_path / "b.tar.gz"), "r")
-    A.unpack(str(tmp_path / "b.tar.gz"), str(tmp_path / "out"))
-    manifest = json.loads((tmp_path / "out" / "r" / "manifest.json").read_text())
+    assert sorted(A.unpack(str(tmp_path / "b.tar.gz"), str(tmp_path / "out"))) == ["r/manifest.json", "r/run/config.json", "r/run/empty.txt"]
+    manifest = A.load_manifest(str(tmp_path / "out" / "r" / "manifest.json"))
     table = A.manifest_table(spark, manifest)
     paths = [f["path"] for f in manifest["files"]]
     check = lambda root: A.first_problem(A.verify(table, A.hash_files(spark, paths, root))).collect()
@@ -54,11 +54,46 @@ def test_listing_and_plans(spark, tmp_path):
 
 
 def test_object_uris():
-    assert A.object_uri("b", "/x/", "r") == "s3://b/x/r/" and A.object_uri("b", None, "r") == "s3://b/r/"
-    assert A.parse_object_uri("s3://b/x/r") == A.ObjectLocation("b", "x/r/")
+    assert A.Folder.of_run("b", "/x/", "r").uri == "s3://b/x/r/" and A.Folder.of_run("b", None, "r").uri == "s3://b/r/"
+    assert A.Folder.parse("s3://b/x/r") == A.Folder("b", "x/r/") and A.Folder.parse("s3://b") == A.Folder("b")
     for bad in ("http://b/x", "s3:///x"):
         with pytest.raises(ValueError):
-            A.parse_object_uri(bad)
+            A.Folder.parse(bad)
+    with pytest.raises(ValueError):
+        A.Folder.of_run(None, None, "r")
+
+
+def test_unsafe_bundles_and_broken_manifests(tmp_path):
+    import io
+    import tarfile
+
+    with tarfile.open(tmp_path / "bad.tar.gz", "w:gz") as t:
+        member = tarfile.TarInfo("../outside.txt")
+        member.size = 1
+        t.addfile(member, io.BytesIO(b"x"))
+    with pytest.raises(ValueError, match="outside"):
+        A.unpack(str(tmp_path / "bad.tar.gz"), str(tmp_path / "out"))
+    assert not (tmp_path / "outside.txt").exists()
+    for text in ("[]", '{"run_name": "r"}', '{"run_name": "r", "files": [{"path": "a"}]}', '{"run_name": "r", "files": [{"path": "a", "size_bytes": true, "sha256": "x"}]}'):
+        with pytest.raises(ValueError):
+            A.parse_manifest(text)
+    with pytest.raises(FileNotFoundError):
+        A.load_manifest(str(tmp_path / "none.json"))
+
+
+def test_push_and_pull(spark, tmp_path):
+    (tmp_path / "run").mkdir()
+    (tmp_path / "run" / "a.txt").write_text("a")
+    (tmp_path / "remote").mkdir()
+    (tmp_path / "remote" / "old.txt").write_text("old")
+    done = A.stage(spark, "r", ["run/a.txt"], ["run/*"], "staged", str(tmp_path))
+    uri = f"file://{tmp_path}/remote"
+    assert A.push(spark, done.folder, uri, True) == {"uploaded": 2, "deleted": 1}
+    assert A.pull(spark, uri, str(tmp_path / "back")) == {"downloaded": 2}
+    assert (tmp_path / "back" / "run" / "a.txt").read_text() == "a"
+    (tmp_path / "remote" / "run" / "a.txt").write_text("b")
+    with pytest.raises(ValueError, match="checksum"):
+        A.pull(spark, uri, str(tmp_path / "back"))
 
 
 def test_tokenizer_gate(spark, tmp_path):
@@ -173,19 +208,22 @@ def test_model_card():
 def test_evaluation_run(spark, tmp_path):
     df = spark.createDataFrame([(i, f"i{i}", f"p{i}", f"answer {i}") for i in range(10)], "row_index bigint, id string, prompt string, response string")
     registry.register("eval-fixture", lambda s, split, name: df)
+    prefs = spark.createDataFrame([(i, f"i{i}", "p", "good", "bad") for i in range(10)], "row_index bigint, id string, prompt string, c string, r string")
+    registry.register("eval-preferences", lambda s, split, name: prefs)
     raw = {
-        "models": [{"name": n, "model_name_or_path": n, "tokenizer_name_or_path": n} for n in ("base", "new")],
+        "models": [{"name": n, "model_name_or_path": n, "tokenizer_name_or_path": n} for n in ("zero", "new")],
         "data": {"dataset_id": "eval-fixture", "dataset_split": "train", "id_field": "id", "prompt_field": "prompt", "reference_field": "response"},
-        "preference_data": {"dataset_id": "x", "dataset_split": "train", "id_field": "id", "prompt_field": "prompt", "chosen_field": "c", "rejected_field": "r"},
+        "preference_data": {"dataset_id": "eval-preferences", "dataset_split": "train", "id_field": "id", "prompt_field": "prompt", "chosen_field": "c", "rejected_field": "r"},
         "formatting": {"mode": "plain"},
         "generation": {"max_input_length": 8, "max_new_tokens": 8, "per_device_batch_size": 2, "do_sample": False, "temperature": 0.0, "seed": 1, "limit": 5},
         "output": {"results_path": str(tmp_path / "r.json"), "predictions_dir": str(tmp_path / "p")},
     }
     config = C.parse("evaluation", raw)
-    preds = spark.createDataFrame([(m, f"i{i}", f"answer {i}" if m == "new" else "x") for m in ("base", "new", "other") for i in range(10)], "model string, id string, prediction string")
-    scores = spark.createDataFrame([("base", "a", 0.0, 0.0), ("new", "a", 1.0, 0.0)], "model string, id string, chosen double, rejected double")
+    preds = spark.createDataFrame([(m, f"i{i}", f"answer {i}" if m == "new" else "x") for m in ("zero", "new", "other") for i in range(10)], "model string, id string, prediction string")
+    scores = spark.createDataFrame([(m, f"i{i}", float(m == "new"), 0.0) for m in ("zero", "new") for i in range(10)] + [("new", "elsewhere", 0.0, 1.0)], "model string, id string, chosen double, rejected double")
     out = runs.run_evaluation(spark, config, preds, scores)
-    assert [m["examples"] for m in out["models"]] == [5, 5]
+    assert [(m["name"], m["metrics"]["examples"], m["preference_pairs"], m["preference_accuracy"]) for m in out["models"]] == [("zero", 5, 5, 0.5), ("new", 5, 5, 1.0)]
+    assert (out["dataset_id"], out["examples"], out["preference_pairs"]) == ("eval-fixture", 5, 5)
     assert out["comparisons"][0]["exact_match_delta"] == 1.0 and out["comparisons"][0]["preference_accuracy_delta"] == 0.5
     assert json.loads((tmp_path / "r.json").read_text()) == out and (tmp_path / "p" / "model=new").is_dir()
     with pytest.raises(C.ConfigError, match="unique"):
