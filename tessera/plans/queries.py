@@ -318,6 +318,20 @@ def normalize_text(spark, sf_dir):
     return _responses(spark, sf_dir).select("row_index", X.normalize_text(F.col("response")).alias("normalized"))
 
 
+#: Texts with compatibility forms, and their normal forms.
+_FORMS = {
+    "ﬁne ﬂow": "fine flow", "①②Ⅳ": "12iv", "ＡＢＣ　ｄ": "abc d", "㎏ ㎞²": "kg km2", "½ x": "1⁄2 x", "e\u0301té": "été", "ﷺ": "صلى الله عليه وسلم", "ｶﾞ": "ガ", "™℡": "tmtel", "…wait": "...wait",
+    "ſtop": "stop", "Ω K Å": "ω k å", "a\u00a0b\u2003c": "a b c", "ẛ̣": "ṩ", "㍿": "株式会社", "\u3000x\u3000": "x", "İ": "i̇", "Straße": "straße", "가": "가", "⑽ ㊀": "(10) 一", "": "",
+}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in _FORMS.items()) + ") t(text, normalized)")
+def normalize_forms(spark, sf_dir):
+    """Compatibility forms that the tables don't have."""
+    df = spark.createDataFrame([(k,) for k in _FORMS], "text string")
+    return df.select("text", X.normalize_text(F.col("text")).alias("normalized"))
+
+
 @query(f"SELECT doc_id, length({_strip('text')})::BIGINT AS n_stripped, len({_words('text')})::BIGINT AS n_tokens FROM documents")
 def whitespace_tokens(spark, sf_dir):
     text = F.col("text")
@@ -694,19 +708,6 @@ def vocab_diff(spark, sf_dir):
     return vocab.vocab_diff(_vocab(spark, sf_dir, "prompt", 0), _vocab(spark, sf_dir, "chosen", 1))
 
 
-@query(
-    f"""
-    WITH t AS ({_vocab_sql("prompt", 0)}), s AS ({_vocab_sql("chosen", 1)}), d AS (SELECT count(*) AS n FROM t FULL JOIN s ON t.token = s.token WHERE t.id IS DISTINCT FROM s.id)
-    SELECT 'other' AS student, CASE WHEN n > 0 THEN 'vocab_mismatch' ELSE 'compatible' END AS reason FROM d UNION ALL SELECT 'same', 'compatible' UNION ALL SELECT 'other_specials', 'special_tokens_mismatch'
-    """
-)
-def tokenizer_gate(spark, sf_dir):
-    t, s = _vocab(spark, sf_dir, "prompt", 0), _vocab(spark, sf_dir, "chosen", 1)
-    cases = (("other", s, True), ("same", t, True), ("other_specials", t, False))
-    rows = [(name, vocab.gate(vocab.vocab_diff(t, v).limit(1).count(), same)) for name, v, same in cases]
-    return spark.createDataFrame(rows, "student string, reason string")
-
-
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
     path = F.concat_ws("/", "doc_type", F.col("doc_id").cast("string"))
@@ -762,6 +763,283 @@ def delete_batches(spark, sf_dir):
     return artifacts.delete_batches(_stale(spark, sf_dir))
 
 
+# ---- further parts of the operators above --------------------------------------------------------
+
+_CHAT_PROMPT = f"{_SYSTEM_TURN} || {_USER_TURN} || {_ANSWER}"
+_CHAT_FULL = f"{_SYSTEM_TURN} || {_USER_TURN} || {_turn(chr(39) + 'assistant' + chr(39), 'response')}"
+
+
+@query(
+    f"""
+    WITH t AS (SELECT row_index, {_ids(_CHAT_PROMPT)} AS p, {_ids(_CHAT_FULL)} AS f FROM response_records {_VALID}),
+    u AS (SELECT row_index, p, f[1:len(p)] = p AS stable, list_concat(f[len(p) + 1:], CASE WHEN f[-1] = 2 THEN [] ELSE [2] END) AS q FROM t),
+    v AS (SELECT row_index, stable, CASE WHEN len(q) >= 64 THEN [] WHEN len(p) <= 64 - len(q) THEN p WHEN 64 - len(q) = 1 THEN p[-1:]
+            ELSE list_concat(p[1:1], p[-(64 - len(q) - 1):]) END AS p, CASE WHEN len(q) >= 64 THEN list_concat(q[1:63], [2]) ELSE q END AS q FROM u)
+    SELECT row_index, stable, {_join('list_concat(p, q)')} AS input_ids, {_join('list_concat(list_transform(p, lambda x: -100), q)')} AS labels FROM v
+    """
+)
+def chat_encode(spark, sf_dir):
+    """Chat mode: the response is what follows the prompt's ids in the conversation's."""
+    rows = spread(_responses(spark, sf_dir).where(X.is_text(F.col("prompt")) & X.is_text(F.col("response"))).select("row_index", "prompt", "response"))
+    encoded = encoding.encode_records(rows, TOKENIZER, 64, "chat", _SYSTEM, keep=("row_index",))
+    return encoded.select("row_index", "stable", _digest("input_ids").alias("input_ids"), _digest("labels").alias("labels"))
+
+
+@query(
+    f"""
+    WITH {_PREFERENCE_CHECKED.replace("FROM preference_records)", f"FROM (SELECT * FROM preference_records ORDER BY md5('{SEED}:' || row_index), row_index LIMIT {SAMPLE}))")}
+    SELECT row_index, coalesce(code, 'sound') AS code, CASE WHEN code IS NULL THEN id END AS id, CASE WHEN code IS NULL THEN md5(prompt || chosen || rejected) END AS texts FROM d
+    """
+)
+def seeded_preference_records(spark, sf_dir):
+    """The seeded sample converted: canonical values of sound records, the violation of others."""
+    fields = PreferenceFields()
+    checked = contracts.check_rows(sampling.seeded_sample(_preferences(spark, sf_dir), SAMPLE, SEED), fields)
+    texts = contracts.renamed(checked, fields).select("row_index", "id", F.md5(F.concat("prompt", "chosen", "rejected")).alias("texts"))
+    return checked.select("row_index", F.coalesce("violation", F.lit("sound")).alias("code")).join(texts, "row_index", "left").select("row_index", "code", "id", "texts")
+
+
+_MIXED = """
+    j AS (SELECT row_index, prompt AS p, chosen AS c, rejected AS r, row_index % 11 = 0 AS mix, row_index % 13 = 0 AS gone FROM preference_records),
+    m AS (SELECT row_index + 100000000 AS row_index, len(prompt) AS p, len(chosen) AS c, len(rejected) AS r FROM preference_messages)
+"""
+
+
+@query(
+    f"""
+    WITH {_MIXED}, f AS (
+        SELECT row_index, p IS NULL AS np, c IS NULL OR gone AS nc, r IS NULL AS nr, mix FROM j),
+    a AS (SELECT row_index, CASE WHEN np THEN 'prompt' WHEN mix AND NOT nc AND NOT nr THEN 'mixed_formats' WHEN nc THEN 'chosen' WHEN nr AND NOT mix THEN 'rejected' WHEN mix THEN 'mixed_formats' END AS violation FROM f),
+    b AS (SELECT row_index, CASE WHEN coalesce(p, 0) = 0 THEN 'prompt' WHEN coalesce(c, 0) = 0 THEN 'chosen' WHEN coalesce(r, 0) = 0 THEN 'rejected' ELSE 'dataset_format' END AS violation FROM m)
+    SELECT coalesce(violation, 'sound') AS violation, count(*) AS n_rows FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY 1
+    """
+)
+def mixed_formats(spark, sf_dir):
+    """JSON rows of text and of messages in one source; every eleventh text row has a message as its
+    rejected answer, every thirteenth has no chosen one."""
+    text = _preferences(spark, sf_dir)
+    one = F.array(F.struct(F.lit("user").alias("role"), F.lit("x").alias("content")))
+    row = lambda c, r: F.to_json(F.struct(F.col("prompt").alias("prompt"), c.alias("chosen"), r.alias("rejected")))
+    chosen = F.when(F.col("row_index") % 13 != 0, F.col("chosen"))
+    payload = F.when(F.col("row_index") % 11 == 0, row(chosen, one)).otherwise(row(chosen, F.col("rejected")))
+    messages = table(spark, sf_dir, "preference_messages").select((F.col("row_index") + 100_000_000).alias("row_index"), row(F.col("chosen"), F.col("rejected")).alias("payload"))
+    rows = text.select("row_index", payload.alias("payload")).unionByName(messages)
+    return contracts.json_formats(rows, "payload").groupBy(F.coalesce("violation", F.lit("sound")).alias("violation")).agg(F.count("*").alias("n_rows"))
+
+
+@query(
+    """
+    WITH w AS (SELECT config_name, unnest(['prompt', 'response', id_field, metadata_field]) AS "column" FROM response_configs)
+    SELECT DISTINCT config_name, "column" FROM w WHERE "column" IS NOT NULL AND "column" NOT IN (SELECT column_name FROM information_schema.columns WHERE table_name = 'raw_records')
+    """
+)
+def missing_columns(spark, sf_dir):
+    """Configured columns of each run that the export's table doesn't have."""
+    wanted = table(spark, sf_dir, "response_configs").select("config_name", F.explode(F.array(F.lit("prompt"), F.lit("response"), "id_field", "metadata_field")).alias("column"))
+    return contracts.missing_columns(table(spark, sf_dir, "raw_records"), wanted, "config_name", "column")
+
+
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tokenizer's JSON payload for each document type: its vocabulary are the languages, its added
+    tokens the run names in their order."""
+    d = table(spark, sf_dir, "documents").where("doc_type IS NOT NULL")
+    tokens = d.where("lang IS NOT NULL").groupBy("doc_type", "lang").agg(F.min("doc_id").alias("id")).groupBy("doc_type").agg(F.map_from_entries(F.collect_list(F.struct("lang", "id"))).alias("vocab"))
+    added = d.where("run_name IS NOT NULL").groupBy("doc_type", "run_name").agg(F.min("doc_id").alias("id")).groupBy("doc_type").agg(F.sort_array(F.collect_list(F.struct("id", F.col("run_name").alias("content")))).alias("added"))
+    rows = tokens.join(added, "doc_type", "left").withColumn("added", F.coalesce("added", F.array().cast("array<struct<id:bigint,content:string>>")))
+    nested = F.struct(F.struct("vocab").alias("model"), F.col("added").alias("added_tokens"), F.lit("</s>").alias("eos_token"), F.lit(7).alias("pad_token"))
+    flat = F.struct(F.col("vocab"), F.col("added").alias("added_tokens"), F.lit(5).alias("eos_token"), F.col("doc_type").alias("bos_token"))
+    return rows.select("doc_type", F.when(F.length("doc_type") % 2 == 0, F.to_json(nested)).otherwise(F.to_json(flat)).alias("payload"))
+
+
+@query("SELECT doc_type, lang AS token, min(doc_id) AS id FROM documents WHERE doc_type IS NOT NULL AND lang IS NOT NULL GROUP BY ALL")
+def payload_vocab(spark, sf_dir):
+    """Tokens of payloads that keep them under the model, or at the top."""
+    return vocab.payload_vocab(_payloads(spark, sf_dir), "payload", ("doc_type",))
+
+
+_SPECIALS = """
+    r AS (SELECT doc_type, run_name, min(doc_id) AS id FROM documents WHERE doc_type IS NOT NULL AND run_name IS NOT NULL GROUP BY ALL),
+    a AS (SELECT doc_type, string_agg('{"content":"' || run_name || '","id":' || id || '}', ',' ORDER BY id, run_name) AS added FROM r GROUP BY doc_type),
+    t AS (SELECT DISTINCT doc_type FROM documents WHERE doc_type IS NOT NULL AND lang IS NOT NULL),
+    p AS (SELECT doc_type, '{"added_tokens":[' || coalesce(added, '') || '],' || CASE WHEN length(doc_type) % 2 = 0 THEN '"eos_token":"</s>"' ELSE '"bos_token":"' || doc_type || '"' END || '}' AS specials
+          FROM t LEFT JOIN a USING (doc_type))
+"""
+
+
+@query(f"WITH {_SPECIALS} SELECT doc_type, specials FROM p")
+def payload_specials(spark, sf_dir):
+    """Special tokens of payloads; those of another type than theirs don't count."""
+    return _payloads(spark, sf_dir).select("doc_type", vocab.payload_specials("payload").alias("specials"))
+
+
+@query(
+    f"""
+    WITH {_SPECIALS}, v AS (SELECT doc_type, lang, min(doc_id) AS id FROM documents WHERE doc_type IS NOT NULL AND lang IS NOT NULL GROUP BY ALL),
+    k AS (SELECT x.doc_type AS a, y.doc_type AS b FROM t x, t y),
+    d AS (SELECT a, b, count(*) AS n FROM k JOIN (SELECT l.doc_type AS a, l.lang, l.id, r.b, r.id AS other FROM v l JOIN (SELECT doc_type AS b, lang, id FROM v) r ON l.lang = r.lang WHERE l.id = r.id) USING (a, b) GROUP BY ALL),
+    c AS (SELECT doc_type, count(*) AS n FROM v GROUP BY 1)
+    SELECT k.a || ' - ' || k.b AS pair, CASE WHEN coalesce(d.n, 0) <> x.n OR coalesce(d.n, 0) <> y.n THEN 'vocab_mismatch' WHEN p.specials <> q.specials THEN 'special_tokens_mismatch' ELSE 'compatible' END AS reason
+    FROM k LEFT JOIN d USING (a, b) JOIN c x ON x.doc_type = k.a JOIN c y ON y.doc_type = k.b JOIN p ON p.doc_type = k.a JOIN p q ON q.doc_type = k.b
+    UNION ALL SELECT doc_type || ' - changed', 'special_tokens_mismatch' FROM p
+    """
+)
+def tokenizer_gate(spark, sf_dir):
+    """Every payload with every payload, and with itself under another end token.  The document types
+    are few, a payload is one row."""
+    p = _payloads(spark, sf_dir)
+    other = p.select(F.col("doc_type").alias("o"), F.col("payload").alias("student"))
+    changed = F.regexp_replace("payload", r'"(eos_token":"</s>|bos_token":"[^"]*)"', r'"unk_token":"?"')
+    pairs = p.crossJoin(F.broadcast(other)).select(F.concat_ws(" - ", "doc_type", "o").alias("pair"), "payload", "student")
+    pairs = pairs.unionByName(p.select(F.concat(F.col("doc_type"), F.lit(" - changed")).alias("pair"), "payload", changed.alias("student")))
+    return vocab.gate_of(pairs, "payload", "student", "pair")
+
+
+
+@query(
+    """
+    WITH w AS (SELECT DISTINCT row_index, micro FROM (SELECT model, id, row_number() OVER (ORDER BY model, id) - 1 AS row_index FROM (SELECT DISTINCT model, id FROM predictions WHERE id IS NOT NULL)) x, (SELECT 8 AS micro)),
+    b AS (SELECT row_index // micro AS batch_id, row_index FROM w)
+    SELECT batch_id, count(*) AS n_rows, min(row_index) AS first_row, max(row_index) AS last_row FROM b GROUP BY 1
+    """
+)
+def micro_batches(spark, sf_dir):
+    """Prompts as a generator takes them: eight consecutive ones at a time."""
+    rows = table(spark, sf_dir, "predictions").where("id IS NOT NULL").select("model", "id").distinct().withColumn("k", F.concat_ws("\x01", "model", "id"))
+    numbered = artifacts.delete_batches(rows, "k", 1).withColumnRenamed("batch", "row_index")
+    out = encoding.micro_batches(numbered, "row_index", 8)
+    return out.groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.min("row_index").alias("first_row"), F.max("row_index").alias("last_row"))
+
+
+@query(
+    f"""
+    WITH {_LOGITS}, t AS (SELECT *, lead(label) OVER (PARTITION BY seq ORDER BY pos) AS target FROM g)
+    SELECT seq, pos // 2 AS part FROM t GROUP BY ALL HAVING count(*) FILTER (target <> -100) = 0
+    """
+)
+def empty_batches(spark, sf_dir):
+    """Pairs of positions without a supervised one."""
+    df = _logits(spark, sf_dir).withColumn("b", F.concat_ws(":", "seq", F.floor(F.col("pos") / 2).cast("string")))
+    bad = kernels.empty_batches(df, kernels.supervised(df), "b")
+    return bad.select(F.split_part("b", F.lit(":"), F.lit(1)).cast("bigint").alias("seq"), F.split_part("b", F.lit(":"), F.lit(2)).cast("bigint").alias("part"))
+
+
+@query(
+    f"""
+    WITH {_LOGITS}, q AS (SELECT seq, list(greatest(label, 0) ORDER BY pos) AS ids FROM g GROUP BY seq)
+    SELECT seq, CASE WHEN ids[1:2] <> [0, 1] AND len(ids) >= 2 OR len(ids) < 2 THEN 'prompt_not_prefix' WHEN len(ids) <= 2 THEN 'no_completion' END AS violation FROM q
+    """
+)
+def unscored_prompts(spark, sf_dir):
+    """Why conversations can't be scored after a prompt that few of them begin with."""
+    rows = _logits(spark, sf_dir).select("seq", F.struct("pos", F.greatest("label", F.lit(0)).alias("id"), "student").alias("x"))
+    seqs = rows.groupBy("seq").agg(F.array_sort(F.collect_list("x")).alias("xs"))  # at most eight positions
+    ids = F.transform("xs", lambda x: x["id"])
+    score = kernels.conditional_log_prob(ids, F.array(F.lit(0), F.lit(1)), F.transform("xs", lambda x: x["student"]), 6)
+    return seqs.select("seq", score["violation"].alias("violation"))
+
+
+@query(
+    f"""
+    WITH {_SCORES}, p AS (SELECT a.seq, 0.1 * ((a.score - b.score) - (b.score - c.score)) AS x FROM z a JOIN z b ON b.seq = a.seq + 1 JOIN z c ON c.seq = a.seq + 2)
+    SELECT seq, round(-ln(1 / (1 + exp(-x))), 5) AS loss FROM p WHERE x IS NOT NULL
+    """
+)
+def preference_loss(spark, sf_dir):
+    """Sigmoid preference loss over stored scores, four neighbours standing for the four of a pair."""
+    s = _scores(spark, sf_dir).select("seq", "score")
+    near = lambda k, name: s.select((F.col("seq") - k).alias("seq"), F.col("score").alias(name))
+    rows = s.join(near(1, "b"), "seq").join(near(2, "c"), "seq")
+    loss = kernels.preference_loss(F.col("score"), F.col("b"), F.col("b"), F.col("c"), 0.1)
+    return rows.select("seq", F.round(loss, 5).alias("loss")).where("loss IS NOT NULL")
+
+
+@query(
+    f"""
+    WITH t AS (SELECT log_id, stage, step, max_steps, logs['loss'] AS x, (log_id % 3) AS kind FROM train_log WHERE list_contains(map_keys(logs), 'loss')),
+    u AS (SELECT *, x * 3 AS g, x / 7 AS m, 1 / (1 + x) AS a FROM t)
+    SELECT log_id, '[' || stage || '] step ' || step || CASE WHEN max_steps > 0 THEN '/' || max_steps ELSE '' END
+        || CASE WHEN kind <> 0 THEN ' | epoch ' || {_FORMAT.format(v="x")} ELSE '' END || CASE WHEN kind <> 1 THEN ' | grad ' || {_FORMAT.format(v="g")} ELSE '' END
+        || CASE WHEN kind = 2 THEN ' | reward | chosen ' || {_FORMAT.format(v="x")} || ' | rejected ' || {_FORMAT.format(v="g")} || ' | margin ' || {_FORMAT.format(v="m")} || ' | accuracy ' || {_FORMAT.format(v="a")}
+              WHEN kind = 1 THEN ' | components | hard ' || {_FORMAT.format(v="g")} ELSE '' END AS line
+    FROM u WHERE x IS NOT NULL AND NOT isnan(x)
+    """
+)
+def log_line_parts(spark, sf_dir):
+    """Epoch, gradient, reward and component parts, made from the logged loss."""
+    x, kind = F.col("x"), F.col("log_id") % 3
+    rows = table(spark, sf_dir, "train_log").select("log_id", "stage", "step", "max_steps", F.try_element_at("logs", F.lit("loss")).alias("x")).where("x IS NOT NULL AND NOT isnan(x)")
+    made = lambda **kv: F.map_from_arrays(F.array(*(F.lit(k.replace("__", "/")) for k in kv)), F.array(*kv.values()))
+    parts = (
+        F.when(kind == 0, made(grad_norm=x * 3))
+        .when(kind == 1, F.map_concat(made(epoch=x), made(loss__hard=x * 3)))
+        .otherwise(made(epoch=x, grad_norm=x * 3, rewards__chosen=x, rewards__rejected=x * 3, rewards__margins=x / 7, rewards__accuracies=1 / (1 + x), loss__hard=x))
+    )
+    rows = rows.withColumn("logs", parts)  # a column of its own: the line reads it many times
+    return rows.select("log_id", logs.log_line(F.col("stage"), F.col("step"), F.col("max_steps"), F.col("logs")).alias("line"))
+
+
+_NAMES = "n AS (SELECT concat_ws('/', 'runs', coalesce(run_name, 'none'), doc_type, doc_id || CASE WHEN doc_id % 3 = 0 THEN '.json' ELSE '.txt' END) AS path, doc_id FROM documents WHERE doc_type IS NOT NULL)"
+
+
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ending = F.when(F.col("doc_id") % 3 == 0, ".json").otherwise(".txt")
+    path = F.concat_ws("/", F.lit("runs"), F.coalesce("run_name", F.lit("none")), "doc_type", F.concat(F.col("doc_id").cast("string"), ending))
+    return table(spark, sf_dir, "documents").where("doc_type IS NOT NULL").select(path.alias("path"), "doc_id")
+
+
+@query(
+    f"WITH {_NAMES} SELECT DISTINCT path FROM n WHERE (path LIKE 'runs/%.json' AND len(string_split(path, '/')) = 4) OR (path LIKE 'runs/none/%/1%' AND len(string_split(path, '/')) = 4) OR regexp_full_match(path, '.*/[^/]?7[.]txt')"
+)
+def glob_matches(spark, sf_dir):
+    """Files that match any of several patterns, each once."""
+    return artifacts.matching(_names(spark, sf_dir), ["runs/*/*/*.json", "runs/none/*/1*", "**/?7.txt", "**/7.txt"])
+
+
+@query(f"WITH {_NAMES} SELECT doc_id AS ordinal, path FROM n WHERE path NOT IN (SELECT path FROM n WHERE doc_id % 5 <> 0)")
+def required_missing(spark, sf_dir):
+    """Required files that aren't there, in their configured order."""
+    names = _names(spark, sf_dir)
+    return artifacts.missing_of(names.withColumnRenamed("doc_id", "ordinal"), names.where("doc_id % 5 <> 0")).select("ordinal", "path")
+
+
+@query(f"WITH {_MANIFEST}, d AS (SELECT * FROM m JOIN documents ON doc_id = ordinal) SELECT doc_type AS run_name, row_number() OVER (PARTITION BY doc_type ORDER BY ordinal) - 1 AS ordinal, path, size_bytes, sha256 FROM d WHERE doc_type IS NOT NULL")
+def manifest_entries(spark, sf_dir):
+    """Entries of manifests kept as JSON text, one for each document type."""
+    rows = _manifest(spark, sf_dir).where("path LIKE '%/%'").select(F.split_part("path", F.lit("/"), F.lit(1)).alias("run_name"), F.struct("ordinal", "path", "size_bytes", "sha256").alias("f"))
+    files = rows.groupBy("run_name").agg(F.transform(F.sort_array(F.collect_list("f")), lambda x: x.dropFields("ordinal")).alias("files"))
+    return artifacts.manifest_entries(files.select(F.to_json(F.struct("run_name", "files")).alias("manifest"))).withColumn("ordinal", F.col("ordinal").cast("bigint"))
+
+
+@query("SELECT 'run/' || doc_id AS key, 'upload' AS action FROM documents WHERE lang = 'de' UNION ALL (SELECT 'run/' || doc_id, 'delete' FROM documents WHERE doc_id % 2 = 0 AND lang IS DISTINCT FROM 'de')")
+def push_plan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.concat_ws("/", F.lit("run"), F.col("doc_id").cast("string")).alias("key"), "doc_id", "lang")
+    return artifacts.push_plan(docs.where("doc_id % 2 = 0"), docs.where("lang = 'de'"), True)
+
+
+@query(f"WITH {_NAMES} SELECT path AS key FROM n")
+def pull_plan(spark, sf_dir):
+    """Keys to download: the folders' markers, and repeated keys, don't count."""
+    names = _names(spark, sf_dir).select(F.col("path").alias("key"))
+    return artifacts.pull_plan(names.unionByName(names.select(F.regexp_replace("key", "[^/]+$", "").alias("key"))).unionByName(names))
+
+
+_URIS = "u AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'http://' ELSE 's3://' END || coalesce(source, '') || CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN '/' || doc_type ELSE '//' || doc_type || '/' END AS uri FROM documents)"
+
+
+@query(f"WITH {_URIS}, v AS (SELECT doc_id, regexp_extract(uri, '^s3://([^/]+)', 1) AS bucket, regexp_extract(uri, '^s3://[^/]+/*([^/]*)', 1) AS name FROM u) SELECT doc_id, CASE WHEN bucket <> '' THEN bucket END AS bucket, CASE WHEN bucket <> '' THEN name || CASE WHEN name <> '' THEN '/' ELSE '' END END AS prefix FROM v")
+def object_folders(spark, sf_dir):
+    """Bucket and prefix of object store URIs; null where they are none."""
+    i = F.col("doc_id") % 3
+    end = F.when(i == 0, "").when(i == 1, F.concat(F.lit("/"), "doc_type")).otherwise(F.concat(F.lit("//"), F.col("doc_type"), F.lit("/")))
+    uri = F.concat(F.when(F.col("doc_id") % 7 == 0, "http://").otherwise("s3://"), F.coalesce("source", F.lit("")), end)
+    return table(spark, sf_dir, "documents").select("doc_id", artifacts.folder_of(uri).alias("f")).select("doc_id", "f.bucket", "f.prefix")
+
+
+@query("SELECT doc_id, strftime(created_at, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(created_at) % 1000000 = 0 THEN '' ELSE '.' || lpad((epoch_us(created_at) % 1000000)::VARCHAR, 6, '0') END || '+00:00' AS created FROM documents")
+def utc_times(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.utc_iso(F.col("created_at")).alias("created"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
