@@ -45,7 +45,8 @@ SPREAD_MARKS = re.compile(r"(?:[^\W_][._\-*~|/+']){2,}[^\W_]")
 TOKEN = re.compile(r"[^\W\d_]\*+[^\W\d_]*|[^\W_]+(?:'[^\W_]+)?")
 REPEAT = re.compile(r"([^\W\d_])\1{2,}")
 LATIN = re.compile(r"[a-z]")
-GLUED = "lol"
+#: Interjections that are written together with the next word.
+GLUED = re.compile(r"(lol|lmao|rofl|omg|wtf)(?=[^\W\d_]{2})")
 STOP = ".!?。！？…"
 BREAK = "\x00"
 #: A capitalised word begins a new sentence, with or without a stop, after so many words.
@@ -71,9 +72,9 @@ def plain_tokens(chunk: str) -> list[str]:
         t = REPEAT.sub(r"\1", t)
         if "*" in t:
             out.append("*")  # some masked word, then which one
-        elif t.startswith(GLUED) and len(t) > len(GLUED) + 1:
-            out.append(GLUED)
-            t = t[len(GLUED) :]
+        elif m := GLUED.match(t):
+            out.append(m[0])
+            t = t[m.end() :]
         out.append(t)
     return out
 
@@ -87,6 +88,7 @@ class Sentences:
     def _chunk(self, chunk: str) -> tuple[tuple[int, ...], bool, bool]:
         """(token hashes, ends a sentence, may begin one)."""
         ends = chunk == BREAK or chunk.rstrip("\"'”»)]").endswith(tuple(STOP))
+        # A capitalised word; of single letters, the articles and prepositions that begin sentences ("I" is always a capital).
         return tuple(map(word_hash, plain_tokens(chunk))), ends, chunk in ("A", "À") or chunk[:1].isupper() and chunk[1:2].islower()
 
     def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

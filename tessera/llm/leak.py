@@ -3,13 +3,15 @@
 The items are normalised to words and put into one automaton, which is small, bounded by
 ``MAX_WORDS`` words and therefore safe to broadcast; a larger collection of items is split into
 several automata, each of which scans the corpus.  The corpus itself is only streamed: one pass,
-no shuffle before the aggregation of the few hits.
+no shuffle before the aggregation of the few hits.  Texts without the hash of any run of the least
+length are dropped a batch at a time; the automaton finds the matches of the others.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,12 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tessera.llm.text import WORD, words
+from tessera.llm.text import WORD, flat_shingles, flat_words, words
 from tessera.session import spread
 
 #: Words of test items in one automaton; its broadcast stays under about 1 GB at this bound.
 MAX_WORDS = 1_000_000
 MIN_WORDS = 13
+#: Bits of the table that drops most runs of words before their hashes are looked up.
+BITS = 24
 
 
 class SuffixAutomaton:
@@ -90,6 +94,11 @@ class SuffixAutomaton:
                     holders[self.short[v]].add(k)
         self.holders = {v: tuple(sorted(s)) for v, s in holders.items()}
 
+    def hashes(self) -> np.ndarray:
+        """Hashes of all runs of ``min_words`` words of the sequences, sorted."""
+        flat, ends = flat_words([" ".join(s) for s in self.sequences])
+        return np.unique(flat_shingles(flat, ends, self.min_words)[0]) if self.sequences else np.zeros(0, np.uint64)
+
     def runs(self, tokens: list[str]) -> dict[int, list[tuple[int, int]]]:
         """Per sequence: the maximal stretches (from, to) of ``tokens`` covered by common runs of
         at least ``min_words`` words."""
@@ -118,6 +127,26 @@ class SuffixAutomaton:
         return out
 
 
+class Present:
+    """Whether texts have any run of words of the sequences: by hash, so that the few texts that don't
+    are let through, and none that do is lost."""
+
+    def __init__(self, hashes: np.ndarray, size: int):
+        self.hashes, self.size = hashes, size
+        self.bits = np.zeros(1 << BITS, bool)
+        self.bits[(hashes >> np.uint64(64 - BITS)).astype(np.int64)] = True
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        flat, ends = flat_words(texts)
+        runs, at = flat_shingles(flat, ends, self.size)
+        on = np.flatnonzero(self.bits[(runs >> np.uint64(64 - BITS)).astype(np.int64)])
+        place = np.searchsorted(self.hashes, runs[on])
+        on = on[self.hashes[np.minimum(place, len(self.hashes) - 1)] == runs[on]] if len(self.hashes) else on[:0]
+        found = np.zeros(len(texts), bool)
+        found[np.searchsorted(at, on, "right") - 1] = True
+        return found & (np.diff(ends) >= self.size)
+
+
 def _automata(items: DataFrame, id_col: str, text_col: str, min_words: int, max_words: int):
     """Automata over the items, each of at most ``max_words`` words (a longer item has its own)."""
     auto, ids, size = SuffixAutomaton(min_words), [], 0
@@ -162,12 +191,13 @@ def find_leaks(
     arrow = to_arrow_schema(struct)
     source = spread(docs.select(F.col(doc_id), F.col(doc_text)))
     for auto, ids in _automata(items, item_id, item_text, min_words, max_words):
-        shared = spark.sparkContext.broadcast((auto, ids))
+        shared = spark.sparkContext.broadcast((auto, ids, auto.hashes()))
 
         def run(batches, shared=shared):
-            auto, ids = shared.value
-            for batch in batches:
-                rows = []
+            auto, ids, hashes = shared.value
+            some = Present(hashes, auto.min_words)
+            for whole in batches:
+                batch, rows = whole.filter(pa.array(some(whole.column(1).to_pylist()), pa.bool_())), []
                 for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     tokens = words(text)
                     found = auto.runs(tokens) if len(tokens) >= auto.min_words else {}
