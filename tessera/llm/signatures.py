@@ -39,7 +39,7 @@ from tessera.session import materialize, spread
 MARKS, TREES, CODE_BYTES = 48, 12, 5
 #: Words of a fingerprint: 16 places of four bits each.
 FACES = [f"f{i}" for i in range(MARKS // 16)]
-LOSS, KEPT = 0.005, 0.93
+LOSS, KEPT = 0.001, 0.93
 LIMIT, HELD, BLOCK = 256, 32_000, 2_000
 CHILDREN, DENSE_SHARE, MAX_SPLITS = 3, 0.5, 4
 #: Keys a task remembers so as not to sign copies again, rows of a task's step, pairs compared at once.

@@ -189,4 +189,4 @@ def test_recall_where_most_regions_are_crowded(spark, limits):
 
 
 def test_radius():
-    assert signatures.radius(0.5) == 31 and signatures.radius(1.0) == 0 and signatures.radius(0.8) < signatures.radius(0.5)
+    assert signatures.radius(0.5) == 33 and signatures.radius(1.0) == 0 and signatures.radius(0.8) < signatures.radius(0.5)
