@@ -167,7 +167,7 @@ def first_violation(spark, sf_dir):
 @query(f"WITH {_RESPONSE_CHECKED} {_SUMMARY.format(t='response_records')}")
 def response_summary(spark, sf_dir):
     df = _responses(spark, sf_dir)
-    return contracts.summary(df, contracts.check_rows(df, ResponseFields()))
+    return contracts.summary(df, contracts.check_rows(df, ResponseFields()), whole=True)
 
 
 @query(f"WITH {_RESPONSE_CHECKED.replace('FROM response_records)', 'FROM response_records WHERE row_index < 100)')} {_SUMMARY.format(t='response_records')}")
@@ -218,7 +218,7 @@ def preference_violations(spark, sf_dir):
 @query(f"WITH {_PREFERENCE_CHECKED} {_SUMMARY.format(t='preference_records')}")
 def preference_summary(spark, sf_dir):
     df = _preferences(spark, sf_dir)
-    return contracts.summary(df, contracts.check_rows(df, PreferenceFields()))
+    return contracts.summary(df, contracts.check_rows(df, PreferenceFields()), whole=True)
 
 
 @query(f"WITH {_PREFERENCE_CHECKED} SELECT row_index, id, prompt, chosen, rejected FROM d WHERE code IS NULL")

@@ -71,7 +71,7 @@ def load(spark: SparkSession, data: Settings) -> DataFrame:
 def inspect(df: DataFrame, fields: contracts.Fields, limit: int | None = None) -> dict[str, Any]:
     """Checks the rows and returns their summary; raises the first violation.  One pass for both."""
     checked = contracts.check_rows(df, fields, limit)
-    both = contracts.summary(df, checked).crossJoin(checked.agg(F.min_by("violation", F.when(F.col("violation").isNotNull(), F.col(fields.row_index))).alias("code"), F.min(F.when(F.col("violation").isNotNull(), F.col(fields.row_index))).alias("at")))
+    both = contracts.summary(df, checked, limit is None).crossJoin(checked.agg(F.min_by("violation", F.when(F.col("violation").isNotNull(), F.col(fields.row_index))).alias("code"), F.min(F.when(F.col("violation").isNotNull(), F.col(fields.row_index))).alias("at")))
     r = both.collect()[0]  # one row
     if r.code is not None:
         raise contracts.ContractError(f"row {r['at']}: {r.code}")

@@ -228,3 +228,17 @@ def test_evaluation_run(spark, tmp_path):
     assert json.loads((tmp_path / "r.json").read_text()) == out and (tmp_path / "p" / "model=new").is_dir()
     with pytest.raises(C.ConfigError, match="unique"):
         C.parse("evaluation", raw | {"models": raw["models"][:1] * 2})
+
+
+def test_make_targets():
+    import shutil
+    import subprocess
+    from pathlib import Path
+
+    if shutil.which("make") is None:
+        pytest.skip("make is absent")
+    root = Path(__file__).resolve().parent.parent
+    for target in ("plan", "validate", "prepare", "evaluate", "export", "pack", "unpack", "verify", "push", "pull"):
+        said = subprocess.run(["make", "-n", target, "KIND=logit", "CONFIG=c.yaml", "ARGS=--limit 5"], cwd=root, capture_output=True, text=True, check=True).stdout
+        assert f"tessera.plans.cli {target} " in said and "--limit 5" in said
+        assert ("--kind logit" in said) == (target in ("plan", "validate", "prepare", "evaluate"))
